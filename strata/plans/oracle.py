@@ -2,16 +2,17 @@
 
 Each query is the same derivation written independently in ANSI-style SQL
 (CTEs over the pre-registered parquet views), then the operator itself.
-Doubles that depend on summation order are rounded identically on both sides
-(``sround``: via DECIMAL(38,10), i.e. half-up on the decimal value, which is
-how Spark rounds a double).
+Doubles that depend on summation order are rounded identically on both sides.
+``sround`` rounds the way Spark rounds a double: half-up on the double's
+shortest decimal string (DuckDB prints the same shortest string).
 """
 
 from __future__ import annotations
 
 
 def sround(expr: str, digits: int) -> str:
-    return f"CAST(round(CAST({expr} AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
+    exact = f"CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18))"
+    return f"CASE WHEN isfinite({expr}) THEN CAST(round({exact}, {digits}) AS DOUBLE) ELSE {expr} END"
 
 
 def c(col: str) -> str:
@@ -94,7 +95,6 @@ SELECT 'PRS' || {pad('s_suppkey', 8)} || '  ' AS series_id,
 FROM supplier JOIN nation ON s_nationkey = n_nationkey
 WHERE s_suppkey % 20 <> 7""")
 
-LK = ["{code}", "{text}", "display_level", "selectable", "sort_sequence"]
 
 
 def lk_cols(code: str, text: str) -> list[str]:

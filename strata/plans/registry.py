@@ -534,7 +534,7 @@ def best_year_per_series(spark, sf):
 
 # ---- analyst questions (Q1–Q6) ---------------------------------------------------------
 # Parameters fit the derived data: sectors are region names, measures part names.
-TREND = {"sector": "europe", "measure": "ring"}
+TREND = {"sector": "america", "measure": "bolt"}
 RANKING_MEASURE = "ring"
 COMPARE = {"sectors": {"america": "america", "asia": "asia"}, "measure": "ring", "since": 1998}
 
@@ -587,7 +587,9 @@ def ask_population_by_year(spark, sf):
 
 
 @register("ask_q01_population_corr", with_ctes(f"""
-SELECT series_label, {sround('corr(value, CAST(us_population AS DOUBLE))', 6)} AS corr_value_population,
+SELECT series_label,
+       CASE WHEN count(*) > 1 THEN {sround('corr(value, CAST(us_population AS DOUBLE))', 6)} END
+         AS corr_value_population,
        count(*) AS pairs
 FROM q01pop WHERE us_population IS NOT NULL GROUP BY series_label""", "q01pop"))
 def ask_q01_population_corr(spark, sf):
