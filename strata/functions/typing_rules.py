@@ -47,28 +47,42 @@ def period_num(period: Column) -> Column:
     return F.nullif(F.regexp_extract(period, r"\d+", 0), F.lit("")).try_cast("int")
 
 
+def data_columns(cols: dict[str, Column]) -> dict[str, Column]:
+    """Typed fact columns from raw (cleaned) expressions, as one projection.
+
+    ``year`` feeds three outputs; subexpression elimination evaluates it once.
+    """
+    y = try_int(cols["year"])
+    period = cols["period"]
+    return {**cols, "year": y, "value": try_double(cols["value"]),
+            "period_start_date": period_start_date(period, y),
+            "period_type": period_type(period), "period_num": period_num(period)}
+
+
+def series_columns(cols: dict[str, Column]) -> dict[str, Column]:
+    return {**cols, **{c: try_int(cols[c]) for c in ("base_year", "begin_year", "end_year")}}
+
+
+def population_columns(cols: dict[str, Column]) -> dict[str, Column]:
+    return {**cols, "year": try_int(cols["year"]),
+            "population": try_double(cols["population"]).try_cast("bigint")}
+
+
+def _apply(df: DataFrame, fn) -> DataFrame:
+    cols = fn({c: F.col(f"`{c}`") for c in df.columns})
+    return df.select(*[e.alias(n) for n, e in cols.items()])
+
+
 def schema_data(df: DataFrame) -> DataFrame:
     """Type the fact: year -> int, value -> double, plus three period columns."""
-    year = try_int(F.col("year"))
-    period = F.col("period")
-    return df.withColumns({
-        "year": year,
-        "value": try_double(F.col("value")),
-    }).withColumns({
-        "period_start_date": period_start_date(period, F.col("year")),
-        "period_type": period_type(period),
-        "period_num": period_num(period),
-    })
+    return _apply(df, data_columns)
 
 
 def schema_series(df: DataFrame) -> DataFrame:
     """Type the series dimension: the three year columns -> int (bad -> NULL)."""
-    return df.withColumns({c: try_int(F.col(c)) for c in ("base_year", "begin_year", "end_year")})
+    return _apply(df, series_columns)
 
 
 def schema_population(df: DataFrame) -> DataFrame:
     """year -> int; population text (often a float string) -> double -> bigint."""
-    return df.withColumns({
-        "year": try_int(F.col("year")),
-        "population": try_double(F.col("population")).try_cast("bigint"),
-    })
+    return _apply(df, population_columns)

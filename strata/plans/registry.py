@@ -47,16 +47,47 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 # ---- shared builders (lazy plans) ----------------------------------------------
 
+# Lazy plans shared by many queries are built once per session and input
+# folder (plans only, no data); clear_plan_cache() after the inputs change.
+_PLANS: dict[tuple, DataFrame] = {}
+
+
+def clear_plan_cache() -> None:
+    from ..sources.tables import clear_scan_cache
+    _PLANS.clear()
+    clear_scan_cache()
+
+
+def _memo(spark, sf, name, build):
+    key = (id(spark._jsparkSession), sf.rstrip("/"), name)
+    df = _PLANS.get(key)
+    if df is None:
+        df = _PLANS[key] = build()
+    return df
+
+
 def _silver(spark, sf, name):
-    return silver.silver_table(spark, sf, name)
+    return _memo(spark, sf, f"silver:{name}", lambda: silver.silver_table(spark, sf, name))
+
+
+class _SilverTables(dict):
+    """Silver tables built on first access only."""
+
+    def __init__(self, spark, sf):
+        super().__init__()
+        self._spark, self._sf = spark, sf
+
+    def __missing__(self, name):
+        df = self[name] = _silver(self._spark, self._sf, name)
+        return df
 
 
 def _silver_all(spark, sf):
-    return silver.silver_tables(spark, sf)
+    return _SilverTables(spark, sf)
 
 
 def _wide(spark, sf):
-    return gold.gold_wide(_silver_all(spark, sf))
+    return _memo(spark, sf, "gold:wide", lambda: gold.gold_wide(_silver_all(spark, sf)))
 
 
 def _typed_fact(spark, sf):
@@ -390,8 +421,7 @@ def check_retention(spark, sf):
 SELECT s AS silver_rows, w AS wide_rows, w <= s AS passed
 FROM (SELECT (SELECT count(*) FROM s_data) AS s, (SELECT count(*) FROM wide) AS w) t""", "s_data", "wide"))
 def check_no_growth(spark, sf):
-    s = _silver_all(spark, sf)
-    return reconcile.check_no_growth(s["data"], gold.gold_wide(s))
+    return reconcile.check_no_growth(_silver(spark, sf, "data"), _wide(spark, sf))
 
 
 @register("check_null_keys", with_ctes("""
@@ -423,8 +453,7 @@ def check_dim_coverage(spark, sf):
 
 
 def _q01pop(spark, sf):
-    s = _silver_all(spark, sf)
-    return gold.gold_q01_population(gold.gold_wide(s), s["lookup_population"])
+    return gold.gold_q01_population(_wide(spark, sf), _silver(spark, sf, "lookup_population"))
 
 
 @register("check_gap_year", with_ctes("""
@@ -636,5 +665,4 @@ def best_year_sql(spark, sf):
 
 @register("q01_with_population_sql", with_ctes("SELECT * FROM q01pop", "q01pop"))
 def q01_with_population_sql(spark, sf):
-    s = _silver_all(spark, sf)
-    return gold_sql.q01_with_population(gold.gold_wide(s), s["lookup_population"])
+    return gold_sql.q01_with_population(_wide(spark, sf), _silver(spark, sf, "lookup_population"))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType
 
-from ..functions.strings import clean_strings, rename_columns, to_upper
+from ..functions.strings import blank_to_null
 from ..operators.dedup import deduplicate
 from ..operators.quality import expect_all_or_drop
 from ..sources import fixtures
@@ -27,11 +28,19 @@ def build_silver(raw: DataFrame, spec: TableSpec, gate_first: bool = False) -> D
     the gate removes its key); ``gate_first=True`` gates before dedup so the
     best *valid* row survives instead.
     """
-    df = rename_columns(raw, spec.rename)
-    df = clean_strings(df)
-    df = to_upper(df, *spec.upper)
+    # rename -> clean -> upper-case -> type, fused into ONE projection
+    cols = {}
+    for f in raw.schema.fields:
+        name = spec.rename.get(f.name, f.name)
+        e = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, StringType):
+            e = blank_to_null(e)
+        if name in spec.upper:
+            e = F.upper(e)
+        cols[name] = e
     if spec.typer is not None:
-        df = spec.typer(df)
+        cols = spec.typer(cols)
+    df = raw.select(*[e.alias(n) for n, e in cols.items()])
     if gate_first:
         df = expect_all_or_drop(df, spec.rules)
     tb, pv = spec.prefer if spec.prefer else (None, None)

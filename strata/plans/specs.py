@@ -9,9 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
-
-from ..functions.typing_rules import schema_data, schema_population, schema_series
+from ..functions.typing_rules import data_columns, population_columns, series_columns
 
 
 @dataclass(frozen=True)
@@ -24,7 +22,7 @@ class TableSpec:
     rename: dict[str, str] = field(default_factory=dict)
     upper: tuple[str, ...] = ()
     key: tuple[str, ...] = ()
-    typer: Callable[[DataFrame], DataFrame] | None = None
+    typer: Callable[[dict], dict] | None = None   # column-level typing rule
     prefer: tuple[str, str] | None = None       # (column, value) that wins dedup
     order: tuple[tuple[str, str], ...] = ()     # extra dedup order: (column, "asc"|"desc")
     rules: dict[str, str] = field(default_factory=dict)
@@ -71,7 +69,7 @@ DATA = TableSpec(
     name="data", bronze="raw_data",
     raw_columns=("series_id", "year", "period", "value", "footnote_codes"),
     folder="backfill", upper=("series_id", "period", "footnote_codes"),
-    key=("series_id", "year", "period"), typer=schema_data, prefer=("footnote_codes", "R"),
+    key=("series_id", "year", "period"), typer=data_columns, prefer=("footnote_codes", "R"),
     order=(("value", "desc"), ("footnote_codes", "asc")), rules=DATA_RULES,
     cluster_by=("series_id", "year", "period_type"),
     comment="Typed, cleaned fact; one row per (series_id, year, period); revised values win.")
@@ -83,7 +81,7 @@ SERIES = TableSpec(
     folder="series",
     upper=("sector_code", "class_code", "measure_code", "duration_code", "seasonal",
            "begin_period", "end_period", "footnote_codes"),
-    key=("series_id",), typer=schema_series, rules=SERIES_RULES, cluster_by=("series_id",),
+    key=("series_id",), typer=series_columns, rules=SERIES_RULES, cluster_by=("series_id",),
     comment="Series dimension: attribute codes per series_id.")
 
 MEASURE = _lookup("measure", "measure_code", "measure_text", "pr.measure")
@@ -105,7 +103,7 @@ POPULATION = TableSpec(
     name="lookup_population", bronze="raw_population",
     raw_columns=("nation_id", "nation", "year", "population"),
     folder="enrichment", file_name="us_population", upper=("nation_id",),
-    key=("nation_id", "year"), typer=schema_population, rules=POPULATION_RULES,
+    key=("nation_id", "year"), typer=population_columns, rules=POPULATION_RULES,
     comment="Yearly population per nation; one row per (nation_id, year).")
 
 ALL = (DATA, SERIES, MEASURE, SECTOR, CLASS, DURATION, FOOTNOTE, PERIOD, SEASONAL, POPULATION)

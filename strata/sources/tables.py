@@ -4,13 +4,59 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sizing import estimated_bytes, parse_bytes
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
+# Below this estimated size a table is left as one split: spreading it would
+# cost more than the single task it occupies.
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has cores.
+
+    Parquet splits at row-group boundaries, so a large file written as one row
+    group is read by a single task and every narrow operator above it runs
+    serially. On a cluster reading many files this is a no-op (the scan
+    already has more splits than cores); it only fires for under-split input.
+    """
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        size = estimated_bytes(df)
+        if size is None or size < min_bytes:
+            return df
+        conf = df.sparkSession.conf
+        split = parse_bytes(conf.get("spark.sql.files.maxPartitionBytes", None), 128 << 20)
+        splits = max(len(df.inputFiles()), -(-size // max(split, 1)))
+        if splits < cores:
+            return df.repartition(cores)
+    except Exception:  # noqa: BLE001 - e.g. no RDD access in a Connect session
+        pass
+    return df
+
+
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
+
+def clear_scan_cache() -> None:
+    """Forget cached scans (their file listings), e.g. after new files land."""
+    _SCANS.clear()
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy parquet scan; Catalyst prunes columns and pushes filters into it."""
+    """Lazy parquet scan; Catalyst prunes columns and pushes filters into it.
+
+    The scan DataFrame is built once per session and path (file listing and
+    footer schema are resolved once), then reused by every plan that reads it.
+    """
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    df = _SCANS.get(key)
+    if df is None:
+        df = _SCANS[key] = spread(spark.read.parquet(path))
+    return df
