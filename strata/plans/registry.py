@@ -121,8 +121,8 @@ def bronze_stream_ingest(spark, sf):
     """All ten bronze tables landed as text and ingested by availableNow streams."""
     root = scratch_path(spark, "bronze-ingest")
     ingest.land_all(spark, sf, f"{root}/landing")
-    frames = [ingest.ingest(spark, s, f"{root}/landing", f"{root}/bronze")
-              .select(F.lit(s.bronze).alias("table_name")) for s in specs.ALL]
+    tables = ingest.ingest_all(spark, f"{root}/landing", f"{root}/bronze")
+    frames = [df.select(F.lit(name).alias("table_name")) for name, df in tables.items()]
     return _union(frames).groupBy("table_name").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -277,12 +277,9 @@ def bronze_lookups(spark, sf):
     """(table, code, text) of the seven lookup tables, each streamed from its named file."""
     root = scratch_path(spark, "bronze-lookups")
     ingest.land_all(spark, sf, f"{root}/landing", tables=specs.LOOKUPS)
-    frames = []
-    for s in specs.LOOKUPS:
-        df = ingest.ingest(spark, s, f"{root}/landing", f"{root}/bronze")
-        frames.append(df.select(F.lit(s.bronze).alias("table_name"), F.col(s.raw_columns[0]).alias("code"),
-                                F.col(s.raw_columns[1]).alias("text")))
-    return _union(frames)
+    tables = ingest.ingest_all(spark, f"{root}/landing", f"{root}/bronze", tables=specs.LOOKUPS)
+    return _union([tables[s.bronze].select(F.lit(s.bronze).alias("table_name"), F.col(s.raw_columns[0]).alias("code"),
+                                           F.col(s.raw_columns[1]).alias("text")) for s in specs.LOOKUPS])
 
 
 @register("bronze_raw_population", _trimmed_sql("raw_population", specs.POPULATION.raw_columns))

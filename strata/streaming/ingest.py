@@ -32,17 +32,27 @@ def bronze_stream(spark: SparkSession, spec: TableSpec, landing: str,
     return r.load(f"{landing.rstrip('/')}/{spec.folder}/")
 
 
-def run_available_now(stream: DataFrame, sink: str, checkpoint: str) -> None:
-    """Process everything available, commit, stop (idempotent per checkpoint)."""
-    q = (stream.writeStream.format("parquet")
+def start_available_now(stream: DataFrame, sink: str, checkpoint: str, name: str | None = None):
+    """Start a run that processes everything available, commits and stops."""
+    w = (stream.writeStream.format("parquet")
          .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True)
-         .start(sink))
+         .trigger(availableNow=True))
+    if name:
+        w = w.queryName(name)
+    return w.start(sink)
+
+
+def _wait(q) -> None:
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
 
 
+def run_available_now(stream: DataFrame, sink: str, checkpoint: str) -> None:
+    """Process everything available, commit, stop (idempotent per checkpoint)."""
+    _wait(start_available_now(stream, sink, checkpoint))
+
+
 def ingest(spark: SparkSession, spec: TableSpec, landing: str, bronze_root: str,
            max_files_per_trigger: int | None = None) -> DataFrame:
     """Run one availableNow pass for ``spec``; return a batch read of the table."""
@@ -52,6 +62,21 @@ def ingest(spark: SparkSession, spec: TableSpec, landing: str, bronze_root: str,
     return spark.read.schema(string_schema(spec.raw_columns)).parquet(sink)
 
 
+def ingest_all(spark: SparkSession, landing: str, bronze_root: str,
+               tables: Iterable[TableSpec] = specs.ALL,
+               max_files_per_trigger: int | None = None) -> dict[str, DataFrame]:
+    """One availableNow pass for several bronze tables, running concurrently
+    (each query schedules its own jobs; the cluster interleaves them)."""
+    tables = list(tables)
+    running = [start_available_now(bronze_stream(spark, s, landing, max_files_per_trigger),
+                                   f"{bronze_root}/{s.bronze}", f"{bronze_root}/_checkpoints/{s.bronze}")
+               for s in tables]
+    for q in running:
+        _wait(q)
+    return {s.bronze: spark.read.schema(string_schema(s.raw_columns)).parquet(f"{bronze_root}/{s.bronze}")
+            for s in tables}
+
+
 def land(spark: SparkSession, raw: DataFrame, spec: TableSpec, landing: str) -> None:
     """Write a raw frame as landed text: big tables as parallel part files in
     their folder, named lookup files as one file each."""

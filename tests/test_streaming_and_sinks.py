@@ -55,3 +55,18 @@ def test_scratch_paths_live_under_checkpoint_dir(spark):
     p = scratch_path(spark, "x")
     assert p.startswith(checkpoint_root(spark)) and p != scratch_path(spark, "x")
     assert local_dir("file:///tmp/a") == "/tmp/a"
+
+
+def test_pipeline_run_matches_registered_tables(spark):
+    import __spark_entry__ as entry
+    from strata.plans import pipeline
+    from tests.conftest import SF_SMALL
+    root = scratch_path(spark, "test-pipeline")
+    ingest.land_all(spark, SF_SMALL, f"{root}/landing")
+    out = pipeline.run(spark, f"{root}/landing", f"{root}/out")
+    q = entry.queries()
+    for name in ("silver_data", "silver_series", "silver_lookup_measure", "gold_wide"):
+        assert out[name].exceptAll(q[name](spark, SF_SMALL)).count() == 0
+        assert out[name].count() == q[name](spark, SF_SMALL).count()
+    assert out["gold_best_year"].count() == q["best_year_per_series"](spark, SF_SMALL).count()
+    assert out["gold_q01_population"].count() == q["q01_with_population"](spark, SF_SMALL).count()
