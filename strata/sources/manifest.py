@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.files import DEFAULT_BASE_URL, LISTING_ENTRY_PATTERN, classify, strip_ws
+from ..operators.dedup import deduplicate
 from ..operators.joins import sized_broadcast
 
 
@@ -59,13 +60,16 @@ def manifest_pending(entries: DataFrame, manifest: DataFrame) -> DataFrame:
 def manifest_upsert(manifest: DataFrame, records: DataFrame) -> DataFrame:
     """New (url, last_modified) records overwrite the stored ones per url.
 
-    ``max(struct(batch, last_modified))`` per url is a partial aggregate, so a
-    url repeated across many records is combined map-side.
+    MERGE as anti-join + union: only the new records are de-duplicated (one
+    per url, latest timestamp first); the stored manifest is streamed through
+    a left-anti join against them — with the usual small batch of records
+    broadcast, the large manifest is never shuffled.
     """
-    tagged = (manifest.select("url", "last_modified", F.lit(0).alias("_batch"))
-              .unionByName(records.select("url", "last_modified", F.lit(1).alias("_batch"))))
-    latest = tagged.groupBy("url").agg(F.max(F.struct("_batch", "last_modified")).alias("_v"))
-    return latest.select("url", F.col("_v.last_modified").alias("last_modified"))
+    new = deduplicate(records.select("url", "last_modified"), ["url"],
+                      order_by=[F.col("last_modified").desc_nulls_last()])
+    kept = manifest.select("url", "last_modified").join(
+        sized_broadcast(new.select(F.col("url").alias("_u"))), F.col("url") == F.col("_u"), "left_anti")
+    return kept.unionByName(new)
 
 
 def content_changed(content: DataFrame, previous: DataFrame, key: str = "doc_id",
