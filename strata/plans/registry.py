@@ -17,7 +17,7 @@ from ..functions.labels import series_label
 from ..functions.strings import clean_strings, rename_columns, to_upper
 from ..functions.typing_rules import schema_data, schema_population, schema_series
 from ..operators import aggregates, dedup, joins, quality, ranking, reconcile
-from ..session import scratch_path
+from ..session import scratch_path, session_key
 from ..sources import fixtures, manifest, sinks, tsv
 from ..streaming import ingest
 from . import ask, gold, gold_sql, oracle, silver, specs
@@ -59,7 +59,7 @@ def clear_plan_cache() -> None:
 
 
 def _memo(spark, sf, name, build):
-    key = (id(spark._jsparkSession), sf.rstrip("/"), name)
+    key = (session_key(spark), sf.rstrip("/"), name)
     df = _PLANS.get(key)
     if df is None:
         df = _PLANS[key] = build()

@@ -38,6 +38,14 @@ def build_session(master: str | None = None, app: str = "strata",
     return spark
 
 
+def session_key(spark: SparkSession) -> str:
+    """Stable identity of a session (for caches of lazy plans)."""
+    try:
+        return str(spark._jsparkSession.sessionUUID())
+    except Exception:  # noqa: BLE001
+        return str(id(spark))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 

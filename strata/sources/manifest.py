@@ -46,6 +46,13 @@ def entries_of_category(entries: DataFrame, category: str) -> DataFrame:
     return classify_files(entries).where(F.col("category") == category)
 
 
+def write_by_category(entries: DataFrame, path: str) -> None:
+    """Persist routed entries with one folder per category (skip-listed
+    entries, category NULL, are not written)."""
+    (classify_files(entries).where(F.col("category").isNotNull())
+     .write.mode("overwrite").partitionBy("category").parquet(path))
+
+
 def manifest_pending(entries: DataFrame, manifest: DataFrame) -> DataFrame:
     """Entries not already recorded at the same last-modified (NULL matches NULL).
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import session_key
 from ..sizing import estimated_bytes, parse_bytes
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -38,7 +39,7 @@ def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
     return df
 
 
-_SCANS: dict[tuple[int, str], DataFrame] = {}
+_SCANS: dict[tuple[str, str], DataFrame] = {}
 
 
 def clear_scan_cache() -> None:
@@ -55,7 +56,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
+    key = (session_key(spark), path)
     df = _SCANS.get(key)
     if df is None:
         df = _SCANS[key] = spread(spark.read.parquet(path))
