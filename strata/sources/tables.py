@@ -33,6 +33,8 @@ def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
         split = parse_bytes(conf.get("spark.sql.files.maxPartitionBytes", None), 128 << 20)
         splits = max(len(df.inputFiles()), -(-size // max(split, 1)))
         if splits < cores:
+            # round-robin keeps column pruning below the exchange (a hash on
+            # all columns would force the scan to read every column)
             return df.repartition(cores)
     except Exception:  # noqa: BLE001 - e.g. no RDD access in a Connect session
         pass

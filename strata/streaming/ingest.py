@@ -88,6 +88,12 @@ def land(spark: SparkSession, raw: DataFrame, spec: TableSpec, landing: str) ->
 
 
 def land_all(spark: SparkSession, sf_dir: str, landing: str,
-             tables: Iterable[TableSpec] = specs.ALL) -> None:
-    for spec in tables:
-        land(spark, raw_table(spark, sf_dir, spec.name), spec, landing)
+             tables: Iterable[TableSpec] = specs.ALL, parallel: int = 4) -> None:
+    """Land several raw tables; the independent write jobs are submitted
+    concurrently so small lookups do not queue behind the fact."""
+    from concurrent.futures import ThreadPoolExecutor
+    tables = list(tables)
+    frames = [(s, raw_table(spark, sf_dir, s.name)) for s in tables]   # plans built on this thread
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        for f in [pool.submit(land, spark, df, s, landing) for s, df in frames]:
+            f.result()

@@ -49,3 +49,22 @@ def test_routing_write_partitions_by_category(spark):
     manifest.write_by_category(entries, path)
     back = spark.read.parquet(path)
     assert sorted(r.category for r in back.collect()) == ["current", "enrichment", "series"]
+
+
+def test_fact_scan_reads_only_needed_columns(spark):
+    import re
+
+    import __spark_entry__ as entry
+    from tests.conftest import SF_ORACLE
+    plan = entry.queries()["silver_data"](spark, SF_ORACLE)._jdf.queryExecution().executedPlan().toString()
+    cols = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
+    assert len(cols) == 1
+    read = {c.split("#")[0] for c in cols[0].split(",")}
+    assert read == {"l_orderkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_shipdate"}
+
+
+def test_lookups_are_broadcast_in_wide_table(spark):
+    import __spark_entry__ as entry
+    from tests.conftest import SF_ORACLE
+    plan = entry.queries()["gold_wide"](spark, SF_ORACLE)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 7
