@@ -110,3 +110,13 @@ def json_records_to_rows(payloads: DataFrame, id_col: str = "payload_id",
         F.array_join(F.transform(F.col("_c"), lambda c: F.coalesce(F.try_element_at(F.col("_r"), c), F.lit(""))),
                      "\t").alias("line"))
     return header.unionByName(body)
+
+
+def write_records_tsv(lines: DataFrame, path: str, id_col: str = "payload_id") -> None:
+    """Write converted records as text: one folder per payload, lines in order.
+
+    Each payload's lines go to one task (a payload is one document), sorted
+    by ``line_no`` inside it; different payloads are written in parallel.
+    """
+    (lines.repartition(F.col(id_col)).sortWithinPartitions(id_col, "line_no")
+          .select(id_col, "line").write.mode("overwrite").partitionBy(id_col).text(path))

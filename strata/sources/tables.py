@@ -30,9 +30,10 @@ def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
         if size is None or size < min_bytes:
             return df
         conf = df.sparkSession.conf
-        split = parse_bytes(conf.get("spark.sql.files.maxPartitionBytes", None), 128 << 20)
-        splits = max(len(df.inputFiles()), -(-size // max(split, 1)))
-        if splits < cores:
+        split = max(parse_bytes(conf.get("spark.sql.files.maxPartitionBytes", None), 128 << 20), 1)
+        if size >= cores * split:
+            return df            # big enough to split into >= cores tasks: never list files
+        if max(len(df.inputFiles()), -(-size // split)) < cores:
             # round-robin keeps column pruning below the exchange (a hash on
             # all columns would force the scan to read every column)
             return df.repartition(cores)

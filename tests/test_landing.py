@@ -68,3 +68,18 @@ def test_json_records_to_rows(spark):
     df = spark.createDataFrame([(7, payload)], "payload_id int, payload string")
     lines = [r.line for r in manifest.json_records_to_rows(df).orderBy("line_no").collect()]
     assert lines == ["Year\tNation\tPopulation", "2013\tUnited States\t316128839", "2014\t\t318857056"]
+
+
+def test_records_tsv_sink_and_category_filter(spark):
+    import glob
+
+    from strata.session import local_dir, scratch_path
+    payload = '{"columns": ["a", "b"], "data": [{"a": 1, "b": "x"}, {"a": 2, "b": null}]}'
+    lines = manifest.json_records_to_rows(spark.createDataFrame([(3, payload)], "payload_id int, payload string"))
+    path = scratch_path(spark, "test-records")
+    manifest.write_records_tsv(lines, path)
+    files = glob.glob(f"{local_dir(path) or path}/payload_id=3/*.txt")
+    text = "".join(open(f).read() for f in sorted(files))
+    assert text == "a\tb\n1\tx\n2\t\n"
+    entries = spark.createDataFrame([("pr.series",), ("pr.class",), ("pr.txt",)], "filename string")
+    assert [r.filename for r in manifest.entries_of_category(entries, "enrichment").collect()] == ["pr.class"]
