@@ -105,13 +105,17 @@ cte("measure_base", f"""
 SELECT {pad('p_partkey + 1', 2)} AS measure_code, p_name AS measure_text, {TAIL},
        CAST(p_partkey + 1 AS VARCHAR) AS sort_sequence FROM part WHERE p_partkey < 20""")
 cte("raw_measure", dirty("measure_base", "measure_code", "01", lk_cols("measure_code", "measure_text")), "measure_base")
+cte("supplier_nations", "SELECT DISTINCT s_nationkey FROM supplier")
 cte("sector_base", f"""
 SELECT CAST(r_regionkey AS VARCHAR) AS sector_code, r_name AS sector_name, {TAIL},
-       CAST(r_regionkey + 1 AS VARCHAR) AS sort_sequence FROM region""")
+       CAST(r_regionkey + 1 AS VARCHAR) AS sort_sequence
+FROM region WHERE r_regionkey IN (SELECT n_regionkey FROM supplier_nations JOIN nation ON s_nationkey = n_nationkey)""",
+    "supplier_nations")
 cte("raw_sector", dirty("sector_base", "sector_code", "0", lk_cols("sector_code", "sector_name")), "sector_base")
 cte("class_base", f"""
 SELECT CAST(n_nationkey AS VARCHAR) AS class_code, n_name AS class_text, {TAIL},
-       CAST(n_nationkey AS VARCHAR) AS sort_sequence FROM nation WHERE n_nationkey % 7 <> 0""")
+       CAST(n_nationkey AS VARCHAR) AS sort_sequence
+FROM supplier_nations JOIN nation ON s_nationkey = n_nationkey WHERE n_nationkey % 7 <> 0""", "supplier_nations")
 cte("raw_class", dirty("class_base", "class_code", "1", lk_cols("class_code", "class_text")), "class_base")
 cte("duration_base", f"""
 SELECT code AS duration_code,

@@ -188,14 +188,19 @@ def annotate_columns(spark, sf):
 
 
 _JSON_SQL = """
-SELECT r_regionkey AS payload_id, 0 AS line_no,
-       'Nation ID' || chr(9) || 'Nation' || chr(9) || 'Region ID' || chr(9) || 'Region' AS line
-FROM region WHERE r_regionkey IN (SELECT n_regionkey FROM nation)
+WITH counts AS (
+  SELECT c_nationkey, year(o_orderdate) AS y, c_mktsegment, count(*) AS n
+  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3),
+docs AS (
+  SELECT c.*, CASE WHEN c_nationkey % 4 = 3 THEN NULL ELSE n_name END AS nation_name,
+         CAST(c_nationkey * 10000 + y AS INTEGER) AS payload_id
+  FROM counts c JOIN nation ON c_nationkey = n_nationkey)
+SELECT DISTINCT payload_id, 0 AS line_no,
+       'Segment' || chr(9) || 'Orders' || chr(9) || 'Nation' || chr(9) || 'Year' AS line FROM docs
 UNION ALL
-SELECT r_regionkey, CAST(row_number() OVER (PARTITION BY r_regionkey ORDER BY n_nationkey) AS INTEGER),
-       CAST(n_nationkey AS VARCHAR) || chr(9) || coalesce(CASE WHEN n_nationkey % 4 = 3 THEN NULL ELSE n_name END, '')
-       || chr(9) || CAST(r_regionkey AS VARCHAR) || chr(9) || r_name
-FROM nation JOIN region ON n_regionkey = r_regionkey"""
+SELECT payload_id, CAST(row_number() OVER (PARTITION BY payload_id ORDER BY c_mktsegment) AS INTEGER),
+       c_mktsegment || chr(9) || CAST(n AS VARCHAR) || chr(9) || coalesce(nation_name, '') || chr(9) || CAST(y AS VARCHAR)
+FROM docs"""
 
 
 @register("json_records_to_rows", _JSON_SQL)

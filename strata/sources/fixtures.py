@@ -89,17 +89,29 @@ def raw_measure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_dirty_copies(df, "measure_code", "01")
 
 
+def _supplier_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nation keys actually used by suppliers: a distinct over the growing
+    supplier table (partial aggregation before the shuffle)."""
+    return table(spark, sf_dir, "supplier").select("s_nationkey").distinct()
+
+
 def raw_sector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sectors = regions that have suppliers."""
+    nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    used = (_supplier_nations(spark, sf_dir).join(sized_broadcast(nat), F.col("s_nationkey") == F.col("n_nationkey"))
+            .select("n_regionkey").distinct())
     r = table(spark, sf_dir, "region")
-    df = r.select(_s(F.col("r_regionkey")).alias("sector_code"), F.col("r_name").alias("sector_name"),
+    j = used.join(sized_broadcast(r), F.col("n_regionkey") == F.col("r_regionkey"))
+    df = j.select(_s(F.col("r_regionkey")).alias("sector_code"), F.col("r_name").alias("sector_name"),
                   *_lookup_tail(F.col("r_regionkey") + 1))
     return with_dirty_copies(df, "sector_code", "0")
 
 
 def raw_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Classes from nations, without every 7th nation (their series stay unmatched)."""
-    n = table(spark, sf_dir, "nation").where(F.col("n_nationkey") % 7 != 0)
-    df = n.select(_s(F.col("n_nationkey")).alias("class_code"), F.col("n_name").alias("class_text"),
+    """Classes = supplier nations, without every 7th nation (their series stay unmatched)."""
+    n = table(spark, sf_dir, "nation").where(F.col("n_nationkey") % 7 != 0).select("n_nationkey", "n_name")
+    j = _supplier_nations(spark, sf_dir).join(sized_broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"))
+    df = j.select(_s(F.col("n_nationkey")).alias("class_code"), F.col("n_name").alias("class_text"),
                   *_lookup_tail(F.col("n_nationkey")))
     return with_dirty_copies(df, "class_code", "1")
 
@@ -244,24 +256,29 @@ def stored_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
                        .otherwise(F.sha2(F.concat(F.col("text"), F.lit("#")), 256)).alias("digest"))
 
 
-JSON_COLUMNS = ("Nation ID", "Nation", "Region ID", "Region")
+JSON_COLUMNS = ("Segment", "Orders", "Nation", "Year")
 
 
 def json_record_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One ``{"columns": [...], "data": [{...}, ...]}`` document per region.
+    """One ``{"columns": [...], "data": [{...}, ...]}`` document per nation and
+    year: order counts per market segment (some nation names NULL).
 
-    A region holds at most the nation table's rows (a fixed-size dimension),
-    so the per-region collect is bounded.
+    The counts are a partial aggregate over orders ⋈ customer; each document
+    then holds one record per segment, a fixed small domain, so the
+    per-document collect is bounded however large the tables grow.
     """
-    nat = table(spark, sf_dir, "nation")
-    reg = table(spark, sf_dir, "region")
-    j = nat.join(sized_broadcast(reg), nat.n_regionkey == reg.r_regionkey)
-    rec = F.struct(F.col("n_nationkey").alias("Nation ID"),
-                   F.when(F.col("n_nationkey") % 4 == 3, F.lit(None).cast("string"))
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate")
+    nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    counts = (orders.join(cust, orders.o_custkey == cust.c_custkey)
+              .groupBy("c_nationkey", F.year("o_orderdate").alias("y"), "c_mktsegment")
+              .agg(F.count(F.lit(1)).alias("n")))
+    j = counts.join(sized_broadcast(nat), counts.c_nationkey == nat.n_nationkey)
+    rec = F.struct(F.col("c_mktsegment").alias("Segment"), F.col("n").alias("Orders"),
+                   F.when(F.col("c_nationkey") % 4 == 3, F.lit(None).cast("string"))
                     .otherwise(F.col("n_name")).alias("Nation"),
-                   F.col("r_regionkey").alias("Region ID"),
-                   F.col("r_name").alias("Region"))
-    grouped = j.groupBy("r_regionkey").agg(F.array_sort(F.collect_list(rec)).alias("data"))
+                   F.col("y").alias("Year"))
+    grouped = j.groupBy("c_nationkey", "y").agg(F.array_sort(F.collect_list(rec)).alias("data"))
     doc = F.struct(F.array(*[F.lit(c) for c in JSON_COLUMNS]).alias("columns"), F.col("data"))
-    return grouped.select(F.col("r_regionkey").alias("payload_id"),
+    return grouped.select((F.col("c_nationkey") * 10000 + F.col("y")).alias("payload_id"),
                           F.to_json(doc, {"ignoreNullFields": "false"}).alias("payload"))
