@@ -23,7 +23,7 @@ GOLD_CLUSTER = ("period_type", "year", "series_id")
 
 
 def run(spark: SparkSession, landing: str, out: str, gate_first: bool = False,
-        max_files_per_trigger: int | None = None) -> dict[str, DataFrame]:
+        max_files_per_trigger: int | None = ingest.DEFAULT_MAX_FILES_PER_TRIGGER) -> dict[str, DataFrame]:
     out = out.rstrip("/")
     bronze = ingest.ingest_all(spark, landing, f"{out}/bronze",
                                max_files_per_trigger=max_files_per_trigger)

@@ -20,8 +20,13 @@ from ..plans.specs import TableSpec
 from ..sources.tsv import READ_OPTIONS, string_schema, write_named_tsv, write_tsv
 
 
+# A micro-batch never takes more files than this, so a large backfill commits
+# progress batch by batch (a failure repeats one batch, not the whole load).
+DEFAULT_MAX_FILES_PER_TRIGGER = 1000
+
+
 def bronze_stream(spark: SparkSession, spec: TableSpec, landing: str,
-                  max_files_per_trigger: int | None = None) -> DataFrame:
+                  max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER) -> DataFrame:
     """Streaming reader of one bronze table over ``landing/<folder>/``."""
     r = (spark.readStream.format("csv").options(**READ_OPTIONS)
          .schema(string_schema(spec.raw_columns)))
@@ -54,7 +59,7 @@ def run_available_now(stream: DataFrame, sink: str, checkpoint: str) -> None:
 
 
 def ingest(spark: SparkSession, spec: TableSpec, landing: str, bronze_root: str,
-           max_files_per_trigger: int | None = None) -> DataFrame:
+           max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER) -> DataFrame:
     """Run one availableNow pass for ``spec``; return a batch read of the table."""
     sink = f"{bronze_root}/{spec.bronze}"
     run_available_now(bronze_stream(spark, spec, landing, max_files_per_trigger),
@@ -64,7 +69,7 @@ def ingest(spark: SparkSession, spec: TableSpec, landing: str, bronze_root: str,
 
 def ingest_all(spark: SparkSession, landing: str, bronze_root: str,
                tables: Iterable[TableSpec] = specs.ALL,
-               max_files_per_trigger: int | None = None) -> dict[str, DataFrame]:
+               max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER) -> dict[str, DataFrame]:
     """One availableNow pass for several bronze tables, running concurrently
     (each query schedules its own jobs; the cluster interleaves them)."""
     tables = list(tables)
