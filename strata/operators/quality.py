@@ -42,6 +42,13 @@ def expectation_metrics(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     return df.agg(*aggs)
 
 
+def gate_metrics(rules: Mapping[str, str]) -> list[Column]:
+    """Aggregates for an Observation: rows reaching the gate, rows passing,
+    and failures per rule."""
+    return ([F.count(F.lit(1)).alias("rows_in"), F.count_if(all_rules_pass(rules)).alias("rows_out")]
+            + [F.count_if(~rule_passes(e)).alias(f"failed_{n}") for n, e in rules.items()])
+
+
 def observe_expectations(df: DataFrame, rules: Mapping[str, str],
                          name: str = "expectations") -> tuple[DataFrame, Observation]:
     """Gate inline and collect per-rule failure counts as a side metric.
@@ -49,7 +56,5 @@ def observe_expectations(df: DataFrame, rules: Mapping[str, str],
     The counts arrive when the returned frame is executed (no extra pass).
     """
     obs = Observation(name)
-    metrics = [F.count(F.lit(1)).alias("rows_in")]
-    metrics += [F.count_if(~rule_passes(e)).alias(f"failed_{n}") for n, e in rules.items()]
-    observed = df.observe(obs, *metrics)
+    observed = df.observe(obs, *gate_metrics(rules))
     return expect_all_or_drop(observed, rules), obs

@@ -12,14 +12,32 @@ from __future__ import annotations
 
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from ..operators.quality import all_rules_pass, rule_passes
 from ..sources import sinks
 from ..streaming import ingest
 from . import gold, specs
 from .silver import build_silver
 
 GOLD_CLUSTER = ("period_type", "year", "series_id")
+EXPECTATION_SCHEMA = "table_name string, rule string, failed long, rows_in long, rows_out long"
+
+
+def _write_gated(df: DataFrame, spec, obs: Observation, path: str) -> DataFrame:
+    """Gate, cluster and write one silver table while observing its rules.
+
+    Rule results are computed before the range exchange and observed above
+    it: the exchange's sampling job runs the plan below it, so an observation
+    placed there would count rows twice.
+    """
+    marked = df.withColumn("_pass", all_rules_pass(spec.rules))
+    ranged = sinks.clustered(marked, spec.cluster_by)
+    observed = ranged.observe(obs, F.count(F.lit(1)).alias("rows_in"),
+                              F.count_if(F.col("_pass")).alias("rows_out"),
+                              *[F.count_if(~rule_passes(e)).alias(f"failed_{n}") for n, e in spec.rules.items()])
+    observed.where(F.col("_pass")).drop("_pass").write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def run(spark: SparkSession, landing: str, out: str, gate_first: bool = False,
@@ -28,9 +46,17 @@ def run(spark: SparkSession, landing: str, out: str, gate_first: bool = False,
     bronze = ingest.ingest_all(spark, landing, f"{out}/bronze",
                                max_files_per_trigger=max_files_per_trigger)
     silver: dict[str, DataFrame] = {}
+    metrics = []
     for spec in specs.ALL:
-        df = build_silver(bronze[spec.bronze], spec, gate_first=gate_first)
-        silver[spec.name] = sinks.write_clustered(df, f"{out}/silver/{spec.name}", spec.cluster_by)
+        obs = Observation(f"expectations_{spec.name}")
+        silver[spec.name] = _write_gated(build_silver(bronze[spec.bronze], spec, gate_first=gate_first,
+                                                      gate=False),
+                                         spec, obs, f"{out}/silver/{spec.name}")
+        m = obs.get                                   # filled by the write above
+        metrics += [(spec.name, rule, int(m.get(f"failed_{rule}", 0)), int(m["rows_in"]), int(m["rows_out"]))
+                    for rule in spec.rules]
+    # one row per (table, rule): the expectation log of the run (a few dozen rows)
+    spark.createDataFrame(metrics, EXPECTATION_SCHEMA).write.mode("overwrite").parquet(f"{out}/_expectations")
     wide = sinks.write_clustered(gold.gold_wide(silver), f"{out}/gold/wide", GOLD_CLUSTER)
     population = silver["lookup_population"]
     outputs = {
@@ -41,6 +67,7 @@ def run(spark: SparkSession, landing: str, out: str, gate_first: bool = False,
         "q01_population": gold.gold_q01_population(wide, population),
     }
     result = {f"silver_{k}": v for k, v in silver.items()}
+    result["expectations"] = spark.read.parquet(f"{out}/_expectations")
     result["gold_wide"] = wide
     for name, df in outputs.items():
         df.write.mode("overwrite").parquet(f"{out}/gold/{name}")

@@ -21,12 +21,14 @@ def _order(spec: TableSpec):
     return cols
 
 
-def build_silver(raw: DataFrame, spec: TableSpec, gate_first: bool = False) -> DataFrame:
+def build_silver(raw: DataFrame, spec: TableSpec, gate_first: bool = False,
+                 gate: bool = True) -> DataFrame:
     """The silver recipe for any spec.
 
     By default the quality gate runs after dedup (a preferred row that fails
     the gate removes its key); ``gate_first=True`` gates before dedup so the
-    best *valid* row survives instead.
+    best *valid* row survives instead. ``gate=False`` returns the rows that
+    reach the (post-dedup) gate, for callers that gate themselves.
     """
     # rename -> clean -> upper-case -> type, fused into ONE projection
     cols = {}
@@ -41,12 +43,14 @@ def build_silver(raw: DataFrame, spec: TableSpec, gate_first: bool = False) -> D
     if spec.typer is not None:
         cols = spec.typer(cols)
     df = raw.select(*[e.alias(n) for n, e in cols.items()])
-    if gate_first:
-        df = expect_all_or_drop(df, spec.rules)
     tb, pv = spec.prefer if spec.prefer else (None, None)
-    df = deduplicate(df, spec.key, tiebreak_col=tb, prefer_value=pv, order_by=_order(spec))
     if not gate_first:
-        df = expect_all_or_drop(df, spec.rules)
+        df = deduplicate(df, spec.key, tiebreak_col=tb, prefer_value=pv, order_by=_order(spec))
+    if not gate and not gate_first:
+        return df
+    df = expect_all_or_drop(df, spec.rules)
+    if gate_first:
+        df = deduplicate(df, spec.key, tiebreak_col=tb, prefer_value=pv, order_by=_order(spec))
     return df
 
 

@@ -70,3 +70,16 @@ def test_pipeline_run_matches_registered_tables(spark):
         assert out[name].count() == q[name](spark, SF_SMALL).count()
     assert out["gold_best_year"].count() == q["best_year_per_series"](spark, SF_SMALL).count()
     assert out["gold_q01_population"].count() == q["q01_with_population"](spark, SF_SMALL).count()
+
+
+def test_pipeline_records_expectations(spark):
+    from strata.plans import pipeline
+    from tests.conftest import SF_SMALL
+    root = scratch_path(spark, "test-pipeline-exp")
+    ingest.land_all(spark, SF_SMALL, f"{root}/landing")
+    out = pipeline.run(spark, f"{root}/landing", f"{root}/out")
+    exp = {(r.table_name, r.rule): r for r in out["expectations"].collect()}
+    data = exp[("data", "valid_period_format")]
+    assert data.rows_out == out["silver_data"].count() and data.rows_in >= data.rows_out
+    assert exp[("lookup_measure", "valid_measure_code")].failed == 1        # the blank-key row
+    assert exp[("lookup_population", "valid_year_range")].failed == 1      # the 'n/a' year
