@@ -16,13 +16,18 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 SPREAD_MIN_BYTES = 1 << 20
 
 
-def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
+def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES, key: str | None = None) -> DataFrame:
+    """Hash-distribute a scan that yields fewer splits than the cluster has cores.
 
     Parquet splits at row-group boundaries, so a large file written as one row
     group is read by a single task and every narrow operator above it runs
     serially. On a cluster reading many files this is a no-op (the scan
     already has more splits than cores); it only fires for under-split input.
+
+    The exchange hashes on ``key`` (default: the leading column, the primary
+    key of every analytic table): deterministic on task retry without the
+    per-partition sort round-robin needs, and it adds at most that one column
+    to a pruned scan (hashing on all columns would defeat column pruning).
     """
     try:
         cores = df.sparkSession.sparkContext.defaultParallelism
@@ -34,9 +39,7 @@ def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
         if size >= cores * split:
             return df            # big enough to split into >= cores tasks: never list files
         if max(len(df.inputFiles()), -(-size // split)) < cores:
-            # round-robin keeps column pruning below the exchange (a hash on
-            # all columns would force the scan to read every column)
-            return df.repartition(cores)
+            return df.repartition(cores, df[key or df.columns[0]])
     except Exception:  # noqa: BLE001 - e.g. no RDD access in a Connect session
         pass
     return df
