@@ -55,6 +55,7 @@ _PLANS: dict[tuple, DataFrame] = {}
 def clear_plan_cache() -> None:
     from ..sources.tables import clear_scan_cache
     _PLANS.clear()
+    fixtures.clear_frame_cache()
     clear_scan_cache()
 
 

@@ -9,11 +9,32 @@ Every frame is a lazy Spark plan over the tables, so it scales with them.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.joins import sized_broadcast
+from ..session import session_key
 from .tables import table
 
+_FRAMES: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def clear_frame_cache() -> None:
+    _FRAMES.clear()
+
+
+def memo_frame(fn):
+    """Build a derived frame's (lazy) plan once per session and input folder."""
+    @functools.wraps(fn)
+    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (session_key(spark), sf_dir.rstrip("/"), fn.__name__)
+        df = _FRAMES.get(key)
+        if df is None:
+            df = _FRAMES[key] = fn(spark, sf_dir)
+        return df
+    return wrapper
+
 
 def _s(c: Column) -> Column:
     return c.cast("string")
@@ -23,6 +44,7 @@ def _pad(c: Column, n: int) -> Column:
     return F.lpad(_s(c), n, "0")
 
 
+@memo_frame
 def raw_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact lines from lineitem: series = supplier, period = ship quarter."""
     li = table(spark, sf_dir, "lineitem")
@@ -39,6 +61,7 @@ def raw_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@memo_frame
 def raw_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Series dimension from supplier ⋈ nation; every 20th supplier (7 mod 20)
     has no series row, so its facts are orphans."""
@@ -81,6 +104,7 @@ def _lookup_tail(sort_seq: Column) -> list[Column]:
             _s(sort_seq).alias("sort_sequence")]
 
 
+@memo_frame
 def raw_measure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures 01–20 from the first twenty parts (series codes 21, 22 stay unmatched)."""
     p = table(spark, sf_dir, "part").where(F.col("p_partkey") < 20)
@@ -95,6 +119,7 @@ def _supplier_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select("s_nationkey").distinct()
 
 
+@memo_frame
 def raw_sector(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sectors = regions that have suppliers."""
     nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
@@ -107,6 +132,7 @@ def raw_sector(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_dirty_copies(df, "sector_code", "0")
 
 
+@memo_frame
 def raw_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes = supplier nations, without every 7th nation (their series stay unmatched)."""
     n = table(spark, sf_dir, "nation").where(F.col("n_nationkey") % 7 != 0).select("n_nationkey", "n_name")
@@ -140,6 +166,7 @@ def _mapped(code: Column, mapping: dict[str, str]) -> Column:
     return expr
 
 
+@memo_frame
 def raw_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Durations used by the series (distinct codes over supplier)."""
     codes = (table(spark, sf_dir, "supplier").select(_s(F.col("s_suppkey") % 3 + 1).alias("duration_code"))
@@ -149,6 +176,7 @@ def raw_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_dirty_copies(df, "duration_code", "1")
 
 
+@memo_frame
 def raw_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quarter codes present in the fact (Q01–Q05; A01 has no row, as upstream)."""
     codes = (raw_data(spark, sf_dir).select(F.upper(F.trim("period")).alias("period"))
@@ -160,6 +188,7 @@ def raw_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_dirty_copies(df, "period", "Q01")
 
 
+@memo_frame
 def raw_seasonal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seasonal codes used by the series; raw headers are mixed case."""
     codes = (raw_series(spark, sf_dir).select(F.upper(F.trim("seasonal")).alias("Seasonal_code"))
@@ -169,6 +198,7 @@ def raw_seasonal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_dirty_copies(df, "Seasonal_code", "S")
 
 
+@memo_frame
 def raw_footnote(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Footnote codes carried by the fact lines (the revised flag)."""
     codes = (table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R")
@@ -183,6 +213,7 @@ POPULATION_NATION = "United States"
 GAP_YEAR = 2000
 
 
+@memo_frame
 def raw_population(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nation's yearly population from order counts; the gap year has no
     row, but yields one line with an unparsable year and one with an
@@ -198,6 +229,7 @@ def raw_population(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.unionByName(bad_year).unionByName(bad_pop)
 
 
+@memo_frame
 def raw_population_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Several nations: customers' order counts per nation and year."""
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -217,6 +249,7 @@ def raw_population_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
 LISTING_NAMES = ("data.{id}.Current", "data.{id}.AllData", "series", "contacts", "lookup{id}", "data.x")
 
 
+@memo_frame
 def listing_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One directory-listing fragment per page row: a parent link plus one
     file line whose size is the page's length and whose name cycles through
@@ -249,6 +282,7 @@ def manifest_state(spark: SparkSession, sf_dir: str, entries: DataFrame) -> Data
     return entries.where(pid % 3 != 2).select("url", lm.alias("last_modified"))
 
 
+@memo_frame
 def stored_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digest recorded at the last load: current for even documents, stale for odd."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -259,6 +293,7 @@ def stored_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 JSON_COLUMNS = ("Segment", "Orders", "Nation", "Year")
 
 
+@memo_frame
 def json_record_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ``{"columns": [...], "data": [{...}, ...]}`` document per nation and
     year: order counts per market segment (some nation names NULL).
