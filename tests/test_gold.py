@@ -123,3 +123,13 @@ def test_small_dimension_is_broadcast(spark):
     assert joins.sized_broadcast(dim, limit_bytes=0) is dim    # over the limit: no hint
     unknown = spark.createDataFrame([("01", "x")], "measure_code string, measure_text string")
     assert joins.sized_broadcast(unknown) is unknown              # no size estimate: no hint
+
+
+def test_no_hint_when_auto_broadcast_disabled(spark):
+    dim = spark.range(3).selectExpr("lpad(cast(id as string), 2, '0') AS measure_code")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert joins.sized_broadcast(dim) is dim
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
