@@ -20,7 +20,7 @@ from ..operators import aggregates, dedup, joins, quality, ranking, reconcile
 from ..session import scratch_path, session_key
 from ..sources import fixtures, manifest, sinks, tsv
 from ..streaming import ingest
-from . import ask, gold, gold_sql, oracle, silver, specs
+from . import ask, ask_sql, gold, gold_sql, oracle, silver, specs
 from .oracle import sround, with_ctes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -669,3 +669,20 @@ def best_year_sql(spark, sf):
 @register("q01_with_population_sql", with_ctes("SELECT * FROM q01pop", "q01pop"))
 def q01_with_population_sql(spark, sf):
     return gold_sql.q01_with_population(_wide(spark, sf), _silver(spark, sf, "lookup_population"))
+
+
+# ---- analyst questions as SQL (same oracle as the DataFrame versions) ------------------
+
+@register("ask_annual_trend_sql", ORACLE["ask_annual_trend"])
+def ask_annual_trend_sql(spark, sf):
+    return ask_sql.ask_annual_trend(gold.gold_annual(_wide(spark, sf)), **TREND)
+
+
+@register("ask_latest_year_ranking_sql", ORACLE["ask_latest_year_ranking"])
+def ask_latest_year_ranking_sql(spark, sf):
+    return ask_sql.ask_latest_year_ranking(gold.gold_annual(_wide(spark, sf)), RANKING_MEASURE)
+
+
+@register("ask_sector_comparison_sql", ORACLE["ask_sector_comparison"])
+def ask_sector_comparison_sql(spark, sf):
+    return ask_sql.ask_sector_comparison(gold.gold_quarterly(_wide(spark, sf)), **COMPARE)

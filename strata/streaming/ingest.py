@@ -26,15 +26,22 @@ DEFAULT_MAX_FILES_PER_TRIGGER = 1000
 
 
 def bronze_stream(spark: SparkSession, spec: TableSpec, landing: str,
-                  max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER) -> DataFrame:
-    """Streaming reader of one bronze table over ``landing/<folder>/``."""
+                  max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
+                  extra_folders: tuple[str, ...] = ()) -> DataFrame:
+    """Streaming reader of one bronze table over ``landing/<folder>/``.
+
+    ``extra_folders`` adds sibling landing folders to the same stream (e.g.
+    ``("current",)`` next to ``backfill``), read through one path glob.
+    """
     r = (spark.readStream.format("csv").options(**READ_OPTIONS)
          .schema(string_schema(spec.raw_columns)))
     if spec.file_name:
         r = r.option("pathGlobFilter", spec.file_name)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.load(f"{landing.rstrip('/')}/{spec.folder}/")
+    folders = (spec.folder, *extra_folders)
+    sub = folders[0] if len(folders) == 1 else "{" + ",".join(folders) + "}"
+    return r.load(f"{landing.rstrip('/')}/{sub}/")
 
 
 def start_available_now(stream: DataFrame, sink: str, checkpoint: str, name: str | None = None):

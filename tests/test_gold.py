@@ -133,3 +133,13 @@ def test_no_hint_when_auto_broadcast_disabled(spark):
         assert joins.sized_broadcast(dim) is dim
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_sql_twins_of_analyst_questions(spark):
+    import __spark_entry__ as entry
+    from tests.conftest import SF_SMALL
+    q = entry.queries()
+    for key in ("ask_annual_trend", "ask_latest_year_ranking", "ask_sector_comparison"):
+        a, b = q[key](spark, SF_SMALL), q[key + "_sql"](spark, SF_SMALL)
+        assert a.columns == b.columns
+        assert a.collect() == b.collect()          # same rows in the same (ORDER BY) order

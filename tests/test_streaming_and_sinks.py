@@ -83,3 +83,16 @@ def test_pipeline_records_expectations(spark):
     assert data.rows_out == out["silver_data"].count() and data.rows_in >= data.rows_out
     assert exp[("lookup_measure", "valid_measure_code")].failed == 1        # the blank-key row
     assert exp[("lookup_population", "valid_year_range")].failed == 1      # the 'n/a' year
+
+
+def test_stream_can_include_current_folder(spark):
+    root = scratch_path(spark, "test-current")
+    landing = f"{root}/landing"
+    ingest.land(spark, _raw(spark, 0, 5), specs.DATA, landing)
+    tsv.write_tsv(_raw(spark, 5, 8), f"{landing}/current")
+    only_backfill = ingest.bronze_stream(spark, specs.DATA, landing)
+    both = ingest.bronze_stream(spark, specs.DATA, landing, extra_folders=("current",))
+    ingest.run_available_now(only_backfill, f"{root}/b1", f"{root}/c1")
+    ingest.run_available_now(both, f"{root}/b2", f"{root}/c2")
+    assert spark.read.parquet(f"{root}/b1").count() == 5
+    assert spark.read.parquet(f"{root}/b2").count() == 8
