@@ -7,7 +7,8 @@ from pyspark.sql import Column, functions as F
 # Names that are listed but carry no series data.
 SKIP_FILES = ("pr.contacts", "pr.txt")
 
-# One file row of the listing page — timestamp, size, href, name.
+# One file row of the listing page (timestamp, size, href, name)
+# and the publisher host the hrefs are relative to.
 LISTING_ENTRY_PATTERN = (
     r'(\d+/\d+/\d{4}\s+\d+:\d+\s+[AP]M)\s+(\d+)\s+'
     r'<[Aa]\s+[Hh][Rr][Ee][Ff]="(/pub/time\.series/pr/[^"]+)">([^<]+)</[Aa]>'
