@@ -7,7 +7,7 @@ from pyspark.sql.types import StringType
 
 from ..functions.strings import blank_to_null
 from ..operators.dedup import deduplicate
-from ..operators.quality import expect_all_or_drop
+from ..operators.quality import all_rules_pass, expect_all_or_drop
 from ..sources import fixtures
 from . import specs
 from .specs import TableSpec
@@ -44,14 +44,18 @@ def build_silver(raw: DataFrame, spec: TableSpec, gate_first: bool = False,
         cols = spec.typer(cols)
     df = raw.select(*[e.alias(n) for n, e in cols.items()])
     tb, pv = spec.prefer if spec.prefer else (None, None)
-    if not gate_first:
-        df = deduplicate(df, spec.key, tiebreak_col=tb, prefer_value=pv, order_by=_order(spec))
-    if not gate and not gate_first:
-        return df
-    df = expect_all_or_drop(df, spec.rules)
     if gate_first:
-        df = deduplicate(df, spec.key, tiebreak_col=tb, prefer_value=pv, order_by=_order(spec))
-    return df
+        df = expect_all_or_drop(df, spec.rules)
+        return deduplicate(df, spec.key, tiebreak_col=tb, prefer_value=pv, order_by=_order(spec))
+    if not gate or not spec.rules:
+        return deduplicate(df, spec.key, tiebreak_col=tb, prefer_value=pv, order_by=_order(spec))
+    # Rules are evaluated once, inside the projection above, and applied to the
+    # dedup survivors. (A plain filter after the window would be pushed by
+    # Catalyst below the window for its key-only rules, re-deriving the cleaned
+    # keys from raw columns a second time just to filter.)
+    marked = df.withColumn("_pass", all_rules_pass(spec.rules))
+    deduped = deduplicate(marked, spec.key, tiebreak_col=tb, prefer_value=pv, order_by=_order(spec))
+    return deduped.where(F.col("_pass")).drop("_pass")
 
 
 RAW_BUILDERS = {
