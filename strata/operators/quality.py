@@ -22,9 +22,24 @@ def all_rules_pass(rules: Mapping[str, str]) -> Column:
     return cond
 
 
-def expect_all_or_drop(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
-    """Keep only rows that pass every rule (a narrow filter, no shuffle)."""
-    return df.where(all_rules_pass(rules)) if rules else df
+def all_rules_pass_as_one(rules: Mapping[str, str]) -> Column:
+    """All rules as ONE predicate, ``coalesce(r1 AND r2 AND ..., false)``.
+
+    Same truth value as ``all_rules_pass``, but not split into conjuncts, so
+    the optimizer moves it only as a whole (it cannot push a key-only part
+    below a window and recompute it from raw columns).
+    """
+    return F.coalesce(F.expr(" AND ".join(f"({e})" for e in rules.values())), F.lit(False))
+
+
+def expect_all_or_drop(df: DataFrame, rules: Mapping[str, str], split: bool = True) -> DataFrame:
+    """Keep only rows that pass every rule (a narrow filter, no shuffle).
+
+    ``split=False`` keeps the rules one predicate (see ``all_rules_pass_as_one``).
+    """
+    if not rules:
+        return df
+    return df.where(all_rules_pass(rules) if split else all_rules_pass_as_one(rules))
 
 
 def expect_or_drop(df: DataFrame, name: str, expr: str) -> DataFrame:

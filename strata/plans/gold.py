@@ -12,13 +12,18 @@ from . import specs
 
 
 def gold_wide(silver: Mapping[str, DataFrame]) -> DataFrame:
-    """Fact joined with every dimension, gated."""
-    wide = joins.build_wide_table(
-        data=silver["data"], series=silver["series"], measure=silver["lookup_measure"],
+    """Fact joined with every dimension, gated.
+
+    The gate reads only fact columns and left joins never change them, so it
+    is applied to the fact before the joins, as one predicate: it then stays
+    above the silver dedup instead of being split and pushed below it.
+    """
+    data = expect_all_or_drop(silver["data"], specs.WIDE_RULES, split=False)
+    return joins.build_wide_table(
+        data=data, series=silver["series"], measure=silver["lookup_measure"],
         sector=silver["lookup_sector"], class_=silver["lookup_class"],
         duration=silver["lookup_duration"], seasonal=silver["lookup_seasonal"],
         period=silver["lookup_period"])
-    return expect_all_or_drop(wide, specs.WIDE_RULES)
 
 
 def gold_quarterly(wide: DataFrame) -> DataFrame:
