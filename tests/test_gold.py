@@ -143,3 +143,21 @@ def test_sql_twins_of_analyst_questions(spark):
         a, b = q[key](spark, SF_SMALL), q[key + "_sql"](spark, SF_SMALL)
         assert a.columns == b.columns
         assert a.collect() == b.collect()          # same rows in the same (ORDER BY) order
+
+
+def test_best_year_can_exclude_q05(spark):
+    rows = [("S1", 1995, "Q01", 1.0), ("S1", 1996, "Q01", 2.0), ("S1", 1995, "Q05", 5.0)]
+    wide = spark.createDataFrame([Row(series_id=s, year=y, period=p, period_type="quarterly", value=v,
+                                      series_label="L") for s, y, p, v in rows])
+    assert ranking.best_year_per_series(wide).first().year == 1995                     # Q05 counted (K3)
+    assert ranking.best_year_per_series(wide, include_q05=False).first().year == 1996
+
+
+def test_q01_population_filters_one_nation(spark):
+    from strata.plans import gold
+    wide = spark.createDataFrame([Row(series_id="S1", series_label="L", year=2013, period="Q01", value=1.0)])
+    pop = _population(spark).unionByName(
+        spark.createDataFrame([Row(nation_id="02", nation="Other", year=2013, population=5)]))
+    assert gold.gold_q01_population(wide, pop).count() == 2                           # fan-out (K10)
+    out = gold.gold_q01_population(wide, pop, nation_id="01000US").collect()
+    assert len(out) == 1 and out[0].us_population == 316128839
