@@ -44,3 +44,15 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["series_id", "series_label", "year", "annual_sum"]
     assert df.count() > 0
+
+
+def test_no_query_plans_python_nested_loops_or_sort_merge(spark):
+    """The plan properties PLANS.md reports, asserted for every registered query."""
+    bad = {}
+    for key in KEYS:
+        plan = entry.queries()[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        found = [n for n in ("NestedLoopJoin", "SortMergeJoin", "CartesianProduct", "ArrowEvalPython",
+                             "BatchEvalPython", "FlatMapGroupsInPandas") if n in plan]
+        if found:
+            bad[key] = found
+    assert bad == {}
