@@ -6,8 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitpack, simhash, spm, topk
-from .common import table
+from . import bitpack, decontam, langid, quality, simhash, spm, topk, toxicity
+from .common import remainder, table, written
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(True))
+    model = langid.train(docs.where(~held_out))
+    found = written(langid.predict(docs, model).withColumn("held_out", held_out), "languages")
+    return langid.calibrated(found, found.where("NOT held_out")).select(
+        "doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected")
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +35,29 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spm.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(True))
+    rows = written(quality.statistics(table(spark, sf_dir, "documents")), "quality")
+    labels = table(spark, sf_dir, "labels").where(~held_out).select("doc_id", F.col("quality").alias("label")).dropna()
+    model = quality.fit(rows.join(labels, "doc_id").select("x", "label"))
+    return quality.scored(rows, model).select("doc_id", held_out.alias("held_out"), "score",
+                                              (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.Model:
+    labels = (table(spark, sf_dir, "labels").where(remainder(F.col("doc_id"), 5) != 0)
+              .select(F.col("doc_id").alias("label_id"), F.col("toxic").alias("label")).dropna())
+    known = docs.select("doc_id", "text").join(labels, F.col("doc_id") == F.col("label_id"))
+    return toxicity.fit(known.select("doc_id", "text", "label"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(True))
+    return toxicity.scored(docs, toxicity_model(spark, sf_dir, docs)).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.search(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
@@ -43,9 +79,13 @@ QUALIFY row_number() OVER w <= 10
 """
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op3_decontamination": op3_decontamination,
     "op4_simhash": op4_simhash,
     "op5_bitpack": op5_bitpack,
     "op6_sentencepiece": op6_sentencepiece,
+    "op8_quality": op8_quality,
+    "op9_toxicity": op9_toxicity,
     "op10_topk": op10_topk,
 }
 ORACLE = {"op10_topk": OP10_SQL}
