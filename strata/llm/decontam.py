@@ -13,14 +13,16 @@ from pyspark.sql import functions as F
 
 from .common import mapped, slices, written
 
-#: BM25 constants, postings of a block, and items of one index (what an executor holds).
+#: BM25 constants, pieces of a block, and items of one index (what an executor holds).
 K1, B = 1.2, 0.75
-BLOCK = 32
+BLOCK = 4
+#: Passages of one text that are searched together.
+PASSAGES = 128
 SHARD_ITEMS = 20_000
 #: Words of an indexed piece of an item; passages are twice as long and half overlap, so a piece lies whole in one.
 PIECE = 64
 #: Retrieved from this share of a piece's own score on; words of a shingle, and the overlap that confirms.
-THRESHOLD = 0.5
+THRESHOLD = 0.6
 SHINGLE, OVERLAP = 5, 0.8
 #: Fewest words of an answer that is verified on its own.
 ANSWER_WORDS = 8
@@ -64,73 +66,80 @@ def covered(part: list[str], region: list[str]) -> float:
     return len(own & there) / len(own)
 
 
+class Postings:
+    """Values by term: the numbers and values of each term's entries, in order of number."""
+
+    def __init__(self, terms: np.ndarray, numbers: np.ndarray, values: np.ndarray, size: int):
+        order = np.lexsort((numbers, terms))
+        self.numbers, self.values = numbers[order], values[order]
+        counts = np.bincount(terms, minlength=size + 1)
+        self.starts, self.sizes = np.cumsum(counts) - counts, counts
+
+    def of(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For all entries of the terms: which of the terms, and the place of the entry."""
+        sizes = self.sizes[terms]
+        ends = np.cumsum(sizes)
+        which = np.repeat(np.arange(len(terms)), sizes)
+        return which, np.arange(len(which)) - np.repeat(ends - sizes - self.starts[terms], sizes)
+
+
 class Index:
-    """Impact-ordered BM25 postings of item pieces, each piece's own score scaled to one, with block maxima."""
+    """BM25 postings of item pieces, each piece's own score scaled to one, with the maximum of every block.
+
+    A block is BLOCK pieces with consecutive numbers; pieces are numbered by
+    their heaviest term, so that similar ones share blocks.
+    """
 
     def __init__(self, pieces: list[tuple[int, list[str]]], df: dict[str, int], total: int, mean: float):
-        self.owner = [item for item, _ in pieces]
-        postings: dict[str, list[tuple[int, float]]] = {}
-        for number, (_, words) in enumerate(pieces):
+        weighed = []
+        for item, words in pieces:
             idf = {w: np.log(1 + (total - df[w] + 0.5) / (df[w] + 0.5)) for w in set(words)}
             norm = K1 * (1 - B + B * len(words) / mean)
             impact = {w: idf[w] * n * (K1 + 1) / (n + norm) for w, n in Counter(words).items()}
             whole = sum(impact.values())
-            for w, v in impact.items():
-                postings.setdefault(w, []).append((number, v / whole))
-        self.terms = {w: i for i, w in enumerate(postings)}
-        self.lists = list(postings.values())
-        self.peaks = [[max(v for _, v in x[i:i + BLOCK]) for i in range(0, len(x), BLOCK)] for x in self.lists]
-        self.bounds = np.array([max(p) for p in self.peaks] + [0.0])  # the last is for words without postings
-
-    def search(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
-        """All pieces whose score for the terms reaches the threshold, by block-max WAND."""
-        found = []
-        cursors = [[self.lists[t][0][0], t, 0] for t in terms]  # piece, term, place
-        slack = 1e-9
-
-        def move(cursor: list, piece: int) -> None:
-            postings, at = self.lists[cursor[1]], cursor[2]
-            while at < len(postings) and postings[at][0] < piece:
-                edge = (at // BLOCK + 1) * BLOCK  # whole blocks below the piece are skipped
-                at = edge if edge <= len(postings) and postings[edge - 1][0] < piece else at + 1
-            cursor[2] = at
-            cursor[0] = postings[at][0] if at < len(postings) else len(self.owner)
-
-        while True:
-            cursors = sorted(c for c in cursors if c[0] < len(self.owner))
-            bound, pivot = 0.0, None
-            for i, c in enumerate(cursors):
-                bound += self.bounds[c[1]]
-                if bound >= threshold - slack:
-                    pivot = i
-                    break
-            if pivot is None:
-                return found
-            piece = cursors[pivot][0]
-            while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == piece:
-                pivot += 1
-            near = cursors[:pivot + 1]
-            peak, until = 0.0, cursors[pivot + 1][0] if pivot + 1 < len(cursors) else len(self.owner)
-            for c in near:
-                postings, at = self.lists[c[1]], c[2]
-                while at < len(postings) and postings[min(at // BLOCK * BLOCK + BLOCK, len(postings)) - 1][0] < piece:
-                    at = at // BLOCK * BLOCK + BLOCK
-                if at < len(postings):
-                    peak += self.peaks[c[1]][at // BLOCK]
-                    until = min(until, postings[min(at // BLOCK * BLOCK + BLOCK, len(postings)) - 1][0] + 1)
-            if peak < threshold - slack:
-                for c in near:
-                    move(c, max(until, piece + 1))
-            elif near[0][0] == piece:
-                score = sum(self.lists[c[1]][c[2]][1] for c in near)
-                if score >= threshold - slack:
-                    found.append((piece, score))
-                for c in near:
-                    move(c, piece + 1)
-            else:
-                for c in near:
-                    if c[0] < piece:
-                        move(c, piece)
+            weighed.append((max(impact, key=lambda w, i=impact: (i[w], w)), item, {w: v / whole for w, v in impact.items()}))
+        weighed.sort(key=lambda x: x[:2])
+        self.owner = np.array([item for _, item, _ in weighed], np.int64)
+        self.terms: dict[str, int] = {}
+        term, piece, value = [], [], []
+        for number, (_, _, impact) in enumerate(weighed):
+            for w in sorted(impact):
+                term.append(self.terms.setdefault(w, len(self.terms)))
+                piece.append(number)
+                value.append(impact[w])
+        term, piece, value = np.array(term, np.int64), np.array(piece, np.int64), np.array(value)
+        self.blocks = -(-len(weighed) // BLOCK)
+        self.pieces = Postings(term, piece, value, len(self.terms))
+        places, which = np.unique(term * self.blocks + piece // BLOCK, return_inverse=True)
+        peaks = np.zeros(len(places))
+        np.maximum.at(peaks, which, value)
+        self.maxima = Postings(places // self.blocks, places % self.blocks, peaks, len(self.terms))
+
+    def search(self, passages: np.ndarray, terms: np.ndarray, threshold: float) -> Iterator[tuple[int, int, float]]:
+        """``(passage, piece, score)`` of all that reach the threshold; ``terms`` are each passage's distinct ones.
+
+        Block-max WAND for many passages at once: a block is a pivot only if
+        the block maxima of a passage's terms add up to the threshold; all
+        other blocks are skipped, and the pieces of a pivot block are scored
+        in full from the postings.
+        """
+        many = int(passages.max(initial=-1)) + 1
+        which, at = self.maxima.of(terms)
+        bound = np.bincount(passages[which] * self.blocks + self.maxima.numbers[at], self.maxima.values[at],
+                            many * self.blocks)
+        pivots = bound >= threshold - 1e-9
+        if not pivots.any():
+            return
+        hopeful = pivots.reshape(many, self.blocks).any(axis=1)[passages]
+        passages, terms = passages[hopeful], terms[hopeful]
+        which, at = self.pieces.of(terms)
+        number = self.pieces.numbers[at]
+        live = pivots[passages[which] * self.blocks + number // BLOCK]
+        which, at, number = which[live], at[live], number[live]
+        keys, place = np.unique(passages[which] * len(self.owner) + number, return_inverse=True)
+        score = np.bincount(place, self.pieces.values[at])
+        for key, value in zip(keys[score >= threshold - 1e-9].tolist(), score[score >= threshold - 1e-9].tolist()):
+            yield key // len(self.owner), key % len(self.owner), value
 
 
 class _Terms(dict):
@@ -160,21 +169,24 @@ class Searcher:
         if not raw:
             return []
         numbers = np.fromiter(map(self.term.__getitem__, raw), np.int64, len(raw))
-        # a passage whose words' bounds can't add up to the threshold has no pivot at all
-        sums = np.concatenate(([0.0], np.cumsum(self.index.bounds[numbers])))
-        starts = np.arange(0, max(1, len(raw) - PIECE), PIECE)
-        reach = sums[np.minimum(starts + 2 * PIECE, len(raw))] - sums[starts]
+        known = np.flatnonzero(numbers < len(self.index.terms))
+        last = max(0, -(-len(raw) // PIECE) - 2)  # passages start at 0, PIECE, ... last * PIECE
         best: dict[int, tuple] = {}
-        for at in starts[reach >= THRESHOLD - 1e-6].tolist():
-            terms = set(numbers[at:at + 2 * PIECE].tolist()) - {len(self.index.terms)}
-            for piece, score in self.index.search(sorted(terms), THRESHOLD):
-                item = self.index.owner[piece]
+        for first in range(0, last + 1, PASSAGES):
+            lo, hi = np.searchsorted(known, (first * PIECE, (first + PASSAGES + 1) * PIECE))
+            step, term = known[lo:hi] // PIECE - first, numbers[known[lo:hi]]
+            both = np.concatenate((step, step - 1))  # a word is in the passage of its step and in the one before
+            fits = (both >= 0) & (both < min(PASSAGES, last + 1 - first))
+            pairs = np.unique((both * len(self.index.terms) + np.concatenate((term, term)))[fits])
+            found = self.index.search(pairs // len(self.index.terms), pairs % len(self.index.terms), THRESHOLD)
+            for passage, piece, score in found:
+                at, item = (first + passage) * PIECE, int(self.index.owner[piece])
                 question, answer = self.items[item]
                 around = len(question) + len(answer)
                 region = words_of(" ".join(raw[max(0, at - around):at + 2 * PIECE + around]))
                 q, a = covered(question, region), covered(answer, region)
                 if q >= OVERLAP and a >= OVERLAP and (item not in best or score > best[item][2]):
-                    best[item] = (item, at, float(score), q, a)
+                    best[item] = (item, at, score, q, a)
         return [best[i] for i in sorted(best)]
 
 
