@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitpack, decontam, langid, quality, simhash, spm, topk, toxicity
+from . import bitpack, decontam, langid, license, quality, simhash, spm, substring, topk, toxicity
 from .common import remainder, table, written
 
 
@@ -19,6 +19,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -35,6 +39,10 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spm.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(True))
     rows = written(quality.statistics(table(spark, sf_dir, "documents")), "quality")
@@ -80,10 +88,12 @@ QUALIFY row_number() OVER w <= 10
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_simhash": op4_simhash,
     "op5_bitpack": op5_bitpack,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_license_scan": op7_license_scan,
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_topk": op10_topk,
