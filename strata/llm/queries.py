@@ -53,10 +53,8 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.Model:
-    labels = (table(spark, sf_dir, "labels").where(remainder(F.col("doc_id"), 5) != 0)
-              .select(F.col("doc_id").alias("label_id"), F.col("toxic").alias("label")).dropna())
-    known = docs.select("doc_id", "text").join(labels, F.col("doc_id") == F.col("label_id"))
-    return toxicity.fit(known.select("doc_id", "text", "label"))
+    labels = table(spark, sf_dir, "labels").where(remainder(F.col("doc_id"), 5) != 0)
+    return toxicity.fit(docs, labels, label_col="toxic")
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

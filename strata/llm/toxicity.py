@@ -10,7 +10,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from .common import _Index, mapped, slices, written
 
@@ -201,11 +200,10 @@ class Model:
         return 1 / (1 + np.exp(np.clip(-self.scale * best, -700, 700)))
 
 
-def sample(labelled: DataFrame, rows: int, clean_rows: int) -> DataFrame:
-    """At most so many rows of each label, those whose ids have the smallest hashes."""
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    return labelled.withColumn("__row", F.row_number().over(order)).where(
-        F.col("__row") <= F.when(F.col("label") == 1, rows).otherwise(clean_rows)).drop("__row")
+def sample(labels: DataFrame, rows: int, clean_rows: int) -> DataFrame:
+    """At most so many rows ``(label_id, label)`` of each label, those whose ids have the smallest hashes."""
+    least = lambda label, n: labels.where(F.col("label") == label).orderBy(F.xxhash64("label_id"), "label_id").limit(n)
+    return least(1, rows).unionByName(least(0, clean_rows))
 
 
 def occurrences(texts: DataFrame, known: frozenset[str] | None = None) -> DataFrame:
@@ -241,21 +239,22 @@ def chosen_landmarks(found: list[tuple[str, int, int]], toxic: int, clean: int)
     return picked
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label",
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label",
         rows: int = 4000, clean_rows: int = 12_000) -> Model:
-    """A model from labelled texts (1 toxic, 0 clean; other labels and nulls teach nothing).
+    """A model from texts and the labels of some (1 toxic, 0 clean; other labels and nulls teach nothing).
 
     Fitted on a bounded sample: at most ``rows`` toxic and ``clean_rows`` clean
-    texts, chosen by id hash. Landmarks are the word beginnings that tell the labels apart best.
+    labels, chosen by id hash, and their texts. Landmarks are the word beginnings that tell the labels apart best.
     Only texts are labelled, so a toxic text's most suspicious sentence and a
     clean text's are the examples, chosen anew by the machine's own margin in
     three rounds. Without examples of both labels every score is the smoothed
     share of toxic ones.
     """
-    known = labelled.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
-                            F.col(label_col).cast("int").alias("label")).where("label IN (0, 1) AND text IS NOT NULL")
-    chosen = sample(known, rows, clean_rows).select("text", "label")
-    chosen = written(chosen, "toxicity-sample")
+    known = labels.select(F.col(id_col).cast("long").alias("label_id"), F.col(label_col).cast("int").alias("label")).where(
+        "label_id IS NOT NULL AND label IN (0, 1)")
+    asked = F.broadcast(sample(known, rows, clean_rows))  # rows + clean_rows rows at most
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).dropna()
+    chosen = written(texts.join(asked, F.col("doc_id") == F.col("label_id")).select("text", "label"), "toxicity-sample")
     counts = {r.label: r.n for r in chosen.groupBy("label").agg(F.count("*").alias("n")).collect()}
     toxic, clean = counts.get(1, 0), counts.get(0, 0)
     prior = (toxic + 1) / (toxic + clean + 2)
