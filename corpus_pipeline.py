@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import decontam, simhash, spm, substring, toxicity
-from strata.llm.common import table, written
+from strata.llm.common import checked, table, written
 from strata.llm.queries import toxicity_model
 
 #: Score from which a document counts as toxic.
@@ -24,7 +24,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = toxicity.scored(docs, toxicity_model(spark, sf_dir, docs))
     gone = written(found.where(F.col("score") >= TOXIC).select(F.col("doc_id").alias("__toxic"))
                    .where("__toxic IS NOT NULL").distinct(), "toxic")
-    return docs.join(gone, docs["doc_id"] == F.col("__toxic"), "left_anti")
+    return docs.join(checked(gone), docs["doc_id"] == F.col("__toxic"), "left_anti")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

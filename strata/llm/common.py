@@ -108,6 +108,15 @@ class Memo:
         return self.flat[np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)], sizes
 
 
+#: Rows of ids, or of small records, up to which a join's side is broadcast (some tens of MB).
+BROADCAST_ROWS = 2_000_000
+
+
+def checked(side: DataFrame) -> DataFrame:
+    """A written side of a join, broadcast if it has BROADCAST_ROWS rows at most; beyond that the join shuffles."""
+    return F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The batches cut into runs of few rows, so Python holds few texts at a time."""
     for batch in batches:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped, slices, written
+from .common import checked, mapped, slices, written
 
 #: BM25 constants, pieces of a block, and items of one index (what an executor holds).
 K1, B = 1.2, 0.75
@@ -278,4 +278,4 @@ def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **c
     """``docs`` without the documents that leak a test item; rows with a null id can't be named and stay."""
     found = written(leaks(docs, items, id_col=id_col, **columns).select(F.col("doc_id").alias("__leaks"))
                     .where("__leaks IS NOT NULL").distinct(), "leaks")
-    return docs.join(found, docs[id_col] == F.col("__leaks"), "left_anti")
+    return docs.join(checked(found), docs[id_col] == F.col("__leaks"), "left_anti")

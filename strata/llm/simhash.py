@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import components, mapped, slices, written
+from .common import checked, components, mapped, slices, written
 
 SEED = 42
 #: Shingles whose bits are counted at once (64 bytes each while unpacked).
@@ -141,7 +141,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = near_duplicates(docs, id_col, text_col, shingle_words, max_bits).where("doc_id IS NOT NULL")
     found = written(found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"),
                                                 F.count("*").alias("times")), "simhash-kept")
-    gone = found.where("component_id < doc_id").select(F.col("doc_id").alias("__gone"))
+    gone = checked(found.where("component_id < doc_id").select(F.col("doc_id").alias("__gone")))
     left = docs.join(gone, docs[id_col] == F.col("__gone"), "left_anti")
     again = found.where("component_id = doc_id AND times > 1").select(F.col("doc_id").alias("__again"))
     if again.isEmpty():

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import _Index, components, mapped, slices, written
+from .common import _Index, checked, components, mapped, slices, written
 
 #: A paragraph ends where a word pair's hash is the least of this many words to either side, or after MAX_WORDS.
 RADIUS = 5
@@ -21,9 +21,8 @@ MAX_WORDS = 64
 SHINGLE, SIMILARITY, MIN_WORDS = 5, 0.8, 10
 #: Bands and MinHash rows of a band: at Jaccard 0.8, 1 - (1 - 0.8 ** 2) ** 4 = 98 % of pairs share a band.
 BANDS, ROWS = 4, 2
-#: Paragraphs whose counts a task sums before it sends them on; candidate texts that are looked up by broadcast.
+#: Paragraphs whose counts a task sums before it sends them on.
 HELD = 400_000
-LOOKED_UP = 200_000
 REMEMBERED = 300_000
 WORD = re.compile(r"\S+")
 TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -194,8 +193,7 @@ def looked_up(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 
     by_doc = written(wanted.groupBy(F.col("doc_id").alias("asked_id")).agg(
         F.collect_list(F.struct("idx", "hash")).alias("asked")), "paragraphs-asked")  # at most a text's paragraphs
-    small = wanted.count() <= LOOKED_UP
-    found = texts.join(F.broadcast(by_doc) if small else by_doc, F.col("doc_id") == F.col("asked_id"))
+    found = texts.join(checked(by_doc), F.col("doc_id") == F.col("asked_id"))
     return mapped(found.select("doc_id", "text", "asked"), run, "hash long, shingles array<long>").dropDuplicates(["hash"])
 
 
@@ -288,7 +286,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     spans = repeats(docs, id_col, text_col).groupBy(F.col("doc_id").alias("__cut_id")).agg(
         F.collect_list(F.struct("first", "last")).alias("__spans"))  # at most a text's paragraphs
-    spans = written(spans, "passages")
+    spans = checked(written(spans, "passages"))
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in slices(batches, 64):
