@@ -102,8 +102,8 @@ def lk_cols(code: str, text: str) -> list[str]:
 
 
 cte("measure_base", f"""
-SELECT {pad('p_partkey + 1', 2)} AS measure_code, p_name AS measure_text, {TAIL},
-       CAST(p_partkey + 1 AS VARCHAR) AS sort_sequence FROM part WHERE p_partkey < 20""")
+SELECT {pad('k', 2)} AS measure_code, measure_text, {TAIL}, CAST(k AS VARCHAR) AS sort_sequence
+FROM (SELECT p_partkey % 22 + 1 AS k, min(p_name) AS measure_text FROM part GROUP BY 1) WHERE k <= 20""")
 cte("raw_measure", dirty("measure_base", "measure_code", "01", lk_cols("measure_code", "measure_text")), "measure_base")
 cte("supplier_nations", "SELECT DISTINCT s_nationkey FROM supplier")
 cte("sector_base", f"""

@@ -49,14 +49,17 @@ def session_key(spark: SparkSession) -> str:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) do we create one and
-    register it, so ``DataFrame.checkpoint()`` and our file outputs agree.
+    Only where a local session has none (tests) do we create one and
+    register it, so ``DataFrame.checkpoint()`` and our file outputs agree; on
+    a cluster a missing setting is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         if jdir.isDefined():
             root = jdir.get()
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.sparkContext.setCheckpointDir(root)

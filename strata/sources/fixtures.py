@@ -106,10 +106,11 @@ def _lookup_tail(sort_seq: Column) -> list[Column]:
 
 @memo_frame
 def raw_measure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Measures 01–20 from the first twenty parts (series codes 21, 22 stay unmatched)."""
-    p = table(spark, sf_dir, "part").where(F.col("p_partkey") < 20)
-    k = F.col("p_partkey") + 1
-    df = p.select(_pad(k, 2).alias("measure_code"), F.col("p_name").alias("measure_text"), *_lookup_tail(k))
+    """One measure per remainder of the part key: an aggregate over all parts, its
+    text the first part name. Codes 21 and 22 are no measures, so series that carry them stay unmatched."""
+    k = F.col("p_partkey") % 22 + 1
+    p = table(spark, sf_dir, "part").groupBy(k.alias("k")).agg(F.min("p_name").alias("measure_text")).where("k <= 20")
+    df = p.select(_pad(F.col("k"), 2).alias("measure_code"), "measure_text", *_lookup_tail(F.col("k")))
     return with_dirty_copies(df, "measure_code", "01")
 
 

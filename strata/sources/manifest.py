@@ -64,16 +64,21 @@ def manifest_pending(entries: DataFrame, manifest: DataFrame) -> DataFrame:
     return entries.join(sized_broadcast(m), cond, "left_anti")
 
 
+# fixed value: how listings print a time
+LISTED_AT = "M/d/yyyy h:mm a"
+
+
 def manifest_upsert(manifest: DataFrame, records: DataFrame) -> DataFrame:
     """New (url, last_modified) records overwrite the stored ones per url.
 
     MERGE as anti-join + union: only the new records are de-duplicated (one
-    per url, latest timestamp first); the stored manifest is streamed through
+    per url, latest point in time first, text only among equals); the stored manifest is streamed through
     a left-anti join against them — with the usual small batch of records
     broadcast, the large manifest is never shuffled.
     """
     new = deduplicate(records.select("url", "last_modified"), ["url"],
-                      order_by=[F.col("last_modified").desc_nulls_last()])
+                      order_by=[F.try_to_timestamp("last_modified", F.lit(LISTED_AT)).desc_nulls_last(),
+                                F.col("last_modified").desc_nulls_last()])
     kept = manifest.select("url", "last_modified").join(
         sized_broadcast(new.select(F.col("url").alias("_u"))), F.col("url") == F.col("_u"), "left_anti")
     return kept.unionByName(new)
@@ -82,11 +87,12 @@ def manifest_upsert(manifest: DataFrame, records: DataFrame) -> DataFrame:
 def content_changed(content: DataFrame, previous: DataFrame, key: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """Rows whose SHA-256 differs from the previously stored digest (or that
-    have none): only those need to be written again."""
+    have none): only those need to be written again. A text that became NULL differs
+    from a stored digest; one that was and is NULL doesn't."""
     cur = content.select(key, F.sha2(F.col(text_col), 256).alias("digest"))
     prev = previous.select(F.col(key).alias("_k"), F.col("digest").alias("_prev"))
     j = cur.join(sized_broadcast(prev), cur[key] == prev["_k"], "left")
-    return j.where(F.col("_prev").isNull() | (F.col("_prev") != F.col("digest"))).select(key, "digest")
+    return j.where(F.col("_k").isNull() | ~F.col("_prev").eqNullSafe(F.col("digest"))).select(key, "digest")
 
 
 RECORDS_SCHEMA = "columns array<string>, data array<map<string,string>>"

@@ -5,45 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import session_key
-from ..sizing import estimated_bytes, parse_bytes
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
-# Below this estimated size a table is left as one split: spreading it would
-# cost more than the single task it occupies.
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES, key: str | None = None) -> DataFrame:
-    """Hash-distribute a scan that yields fewer splits than the cluster has cores.
-
-    Parquet splits at row-group boundaries, so a large file written as one row
-    group is read by a single task and every narrow operator above it runs
-    serially. On a cluster reading many files this is a no-op (the scan
-    already has more splits than cores); it only fires for under-split input.
-
-    The exchange hashes on ``key`` (default: the leading column, the primary
-    key of every analytic table): deterministic on task retry without the
-    per-partition sort round-robin needs, and it adds at most that one column
-    to a pruned scan (hashing on all columns would defeat column pruning).
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        size = estimated_bytes(df)
-        if size is None or size < min_bytes:
-            return df
-        conf = df.sparkSession.conf
-        split = max(parse_bytes(conf.get("spark.sql.files.maxPartitionBytes", None), 128 << 20), 1)
-        if size >= cores * split:
-            return df            # big enough to split into >= cores tasks: never list files
-        if max(len(df.inputFiles()), -(-size // split)) < cores:
-            return df.repartition(cores, df[key or df.columns[0]])
-    except Exception:  # noqa: BLE001 - e.g. no RDD access in a Connect session
-        pass
-    return df
-
 
 _SCANS: dict[tuple[str, str], DataFrame] = {}
 
@@ -65,5 +31,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (session_key(spark), path)
     df = _SCANS.get(key)
     if df is None:
-        df = _SCANS[key] = spread(spark.read.parquet(path))
+        df = _SCANS[key] = spark.read.parquet(path)
     return df

@@ -154,10 +154,12 @@ def test_best_year_can_exclude_q05(spark):
 
 
 def test_q01_population_filters_one_nation(spark):
-    from strata.plans import gold
+    from strata.plans import gold, gold_sql
     wide = spark.createDataFrame([Row(series_id="S1", series_label="L", year=2013, period="Q01", value=1.0)])
     pop = _population(spark).unionByName(
         spark.createDataFrame([Row(nation_id="02", nation="Other", year=2013, population=5)]))
-    assert gold.gold_q01_population(wide, pop).count() == 2                           # fan-out (K10)
+    for twin in (gold.gold_q01_population, gold_sql.q01_with_population):  # two nations for a year: fails (K10)
+        with pytest.raises(Exception, match="more than one population row"):
+            twin(wide, pop).collect()
     out = gold.gold_q01_population(wide, pop, nation_id="01000US").collect()
     assert len(out) == 1 and out[0].us_population == 316128839
