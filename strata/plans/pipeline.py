@@ -24,7 +24,16 @@ GOLD_CLUSTER = ("period_type", "year", "series_id")
 EXPECTATION_SCHEMA = "table_name string, rule string, failed long, rows_in long, rows_out long"
 
 
-def _write_gated(df: DataFrame, spec, obs: Observation, path: str) -> DataFrame:
+def _keep(df: DataFrame, table: str, path: str, comment: str, layer: str, cluster_by: tuple[str, ...] = (),
+          laid_out: bool = False) -> DataFrame:
+    """Write one table with its comment, layer and column comments; return a read of its files."""
+    described = sinks.annotate_columns(df, specs.COLUMN_COMMENTS)
+    sinks.write_table(described, table, path, comment=comment, properties={"quality": layer},
+                      cluster_by=cluster_by, laid_out=laid_out)
+    return df.sparkSession.read.parquet(path)
+
+
+def _write_gated(df: DataFrame, spec, obs: Observation, table: str, path: str) -> DataFrame:
     """Gate, cluster and write one silver table while observing its rules.
 
     Rule results are computed before the range exchange and observed above
@@ -36,12 +45,14 @@ def _write_gated(df: DataFrame, spec, obs: Observation, path: str) -> DataFrame:
     observed = ranged.observe(obs, F.count(F.lit(1)).alias("rows_in"),
                               F.count_if(F.col("_pass")).alias("rows_out"),
                               *[F.count_if(~rule_passes(e)).alias(f"failed_{n}") for n, e in spec.rules.items()])
-    observed.where(F.col("_pass")).drop("_pass").write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return _keep(observed.where(F.col("_pass")).drop("_pass"), table, path, spec.comment, "silver", spec.cluster_by,
+                 laid_out=True)
 
 
 def run(spark: SparkSession, landing: str, out: str, gate_first: bool = False,
-        max_files_per_trigger: int | None = ingest.DEFAULT_MAX_FILES_PER_TRIGGER) -> dict[str, DataFrame]:
+        max_files_per_trigger: int | None = ingest.DEFAULT_MAX_FILES_PER_TRIGGER,
+        prefix: str = "strata") -> dict[str, DataFrame]:
+    """Run all layers; silver and gold tables are registered as ``<prefix>_<layer>_<name>``."""
     out = out.rstrip("/")
     bronze = ingest.ingest_all(spark, landing, f"{out}/bronze",
                                max_files_per_trigger=max_files_per_trigger)
@@ -51,13 +62,14 @@ def run(spark: SparkSession, landing: str, out: str, gate_first: bool = False,
         obs = Observation(f"expectations_{spec.name}")
         silver[spec.name] = _write_gated(build_silver(bronze[spec.bronze], spec, gate_first=gate_first,
                                                       gate=False),
-                                         spec, obs, f"{out}/silver/{spec.name}")
+                                         spec, obs, f"{prefix}_silver_{spec.name}", f"{out}/silver/{spec.name}")
         m = obs.get                                   # filled by the write above
         metrics += [(spec.name, rule, int(m.get(f"failed_{rule}", 0)), int(m["rows_in"]), int(m["rows_out"]))
                     for rule in spec.rules]
     # one row per (table, rule): the expectation log of the run (a few dozen rows)
     spark.createDataFrame(metrics, EXPECTATION_SCHEMA).write.mode("overwrite").parquet(f"{out}/_expectations")
-    wide = sinks.write_clustered(gold.gold_wide(silver), f"{out}/gold/wide", GOLD_CLUSTER)
+    wide = _keep(gold.gold_wide(silver), f"{prefix}_gold_wide", f"{out}/gold/wide", specs.GOLD_COMMENTS["wide"], "gold",
+                 GOLD_CLUSTER)
     population = silver["lookup_population"]
     outputs = {
         "quarterly": gold.gold_quarterly(wide),
@@ -70,8 +82,7 @@ def run(spark: SparkSession, landing: str, out: str, gate_first: bool = False,
     result["expectations"] = spark.read.parquet(f"{out}/_expectations")
     result["gold_wide"] = wide
     for name, df in outputs.items():
-        df.write.mode("overwrite").parquet(f"{out}/gold/{name}")
-        result[f"gold_{name}"] = spark.read.parquet(f"{out}/gold/{name}")
+        result[f"gold_{name}"] = _keep(df, f"{prefix}_gold_{name}", f"{out}/gold/{name}", specs.GOLD_COMMENTS[name], "gold")
     return result
 
 

@@ -133,7 +133,7 @@ def bronze_incremental_once(spark, sf):
     root = scratch_path(spark, "bronze-incremental")
     landing, bronze = f"{root}/landing", f"{root}/bronze"
     raw = fixtures.raw_data(spark, sf)
-    early = F.col("year") < "1998"
+    early = F.coalesce(F.col("year") < "1998", F.lit(False))
     ingest.land(spark, raw.where(early), specs.DATA, landing)
     ingest.ingest(spark, specs.DATA, landing, bronze)
     ingest.land(spark, raw.where(~early), specs.DATA, landing)
@@ -175,17 +175,14 @@ def sink_clustered(spark, sf):
                                  ("period_type", "year", "series_id"))
 
 
-SERIES_COMMENTS = {
-    "series_id": "Series identifier; primary key.",
-    "sector_code": "Sector code (joins lookup_sector).",
-    "measure_code": "Measure code (joins lookup_measure).",
-    "base_year": "Index base year; NULL when the series is not an index.",
-}
-
-
 @register("annotate_columns", with_ctes("SELECT * FROM s_series", "s_series"))
 def annotate_columns(spark, sf):
-    return sinks.annotate_columns(_silver(spark, sf, "series"), SERIES_COMMENTS)
+    return sinks.annotate_columns(_silver(spark, sf, "series"), specs.COLUMN_COMMENTS)
+
+
+@register("annotate_gold_columns", with_ctes("SELECT * FROM wide", "wide"))
+def annotate_gold_columns(spark, sf):
+    return sinks.annotate_columns(_wide(spark, sf), specs.COLUMN_COMMENTS)
 
 
 _JSON_SQL = """

@@ -106,6 +106,64 @@ POPULATION = TableSpec(
     key=("nation_id", "year"), typer=population_columns, rules=POPULATION_RULES,
     comment="Yearly population per nation; one row per (nation_id, year).")
 
+#: What each column means, in every silver and gold table that has it.
+COLUMN_COMMENTS = {
+    "series_id": "Code of the time series the row belongs to.",
+    "year": "Calendar year.",
+    "period": "Part of the year: Q01 to Q04 quarters, Q05 and A01 yearly averages.",
+    "value": "Observed or computed figure.",
+    "footnote_codes": "Footnote marks; R is a revised figure.",
+    "period_start_date": "First day of the period.",
+    "period_type": "Whether the period is a quarter or a year.",
+    "period_num": "Number within the period code.",
+    "period_abbr": "Short form of the period's name.",
+    "period_name": "The period's name.",
+    "sector_code": "Code of the economic sector.",
+    "sector_name": "Name of the economic sector.",
+    "class_code": "Code of the worker class.",
+    "class_text": "Name of the worker class.",
+    "measure_code": "Code of what is measured.",
+    "measure_text": "Name of what is measured.",
+    "duration_code": "Code of how figures compare over time.",
+    "duration_text": "How figures compare over time.",
+    "seasonal": "Code of the seasonal adjustment.",
+    "seasonal_code": "Code of the seasonal adjustment.",
+    "seasonal_text": "Name of the seasonal adjustment.",
+    "footnote_code": "One footnote mark.",
+    "footnote_text": "Wording of the footnote.",
+    "base_year": "Year an index is set to 100; NULL where the series is no index.",
+    "begin_year": "First year of the series.",
+    "begin_period": "First period of the series.",
+    "end_year": "Last year of the series.",
+    "end_period": "Last period of the series.",
+    "display_level": "Depth at which the entry is shown.",
+    "selectable": "T where the entry can be chosen.",
+    "sort_sequence": "Place of the entry in lists.",
+    "nation_id": "Code of the nation.",
+    "nation": "Name of the nation.",
+    "population": "Inhabitants in that year.",
+    "us_population": "Inhabitants in the row's year; NULL where unknown.",
+    "series_label": "Sector, measure, duration and adjustment in words.",
+    "avg_value": "Mean of the group's values.",
+    "min_value": "Smallest of the group's values.",
+    "max_value": "Largest of the group's values.",
+    "series_count": "Rows of the group.",
+    "annual_sum": "Sum of the year's quarterly values.",
+    "mean_population": "Mean population over the years.",
+    "stddev_population": "Population standard deviation over the years.",
+    "year_from": "First year counted.",
+    "year_to": "Last year counted.",
+    "year_count": "Years counted.",
+}
+GOLD_COMMENTS = {
+    "wide": "Every fact with its series, lookups and label.",
+    "quarterly": "Quarterly values by sector, measure, year and quarter.",
+    "annual": "Yearly values by sector, measure and year.",
+    "best_year": "Year with the largest sum of quarterly values, per series.",
+    "population_stats": "Mean and spread of the population over a range of years.",
+    "q01_population": "First-quarter values beside the population of the same year.",
+}
+
 ALL = (DATA, SERIES, MEASURE, SECTOR, CLASS, DURATION, FOOTNOTE, PERIOD, SEASONAL, POPULATION)
 BY_NAME = {s.name: s for s in ALL}
 LOOKUPS = (MEASURE, SECTOR, CLASS, DURATION, FOOTNOTE, PERIOD, SEASONAL)

@@ -30,11 +30,12 @@ def _sql_str(s: str) -> str:
 
 def write_table(df: DataFrame, name: str, path: str, comment: str | None = None,
                 properties: Mapping[str, str] | None = None,
-                cluster_by: Sequence[str] = ()) -> DataFrame:
+                cluster_by: Sequence[str] = (), laid_out: bool = False) -> DataFrame:
     """Persist ``df`` as a parquet table at ``path`` (a shared location),
-    register it as ``name``, set its comment and properties, return a read of it."""
+    register it as ``name``, set its comment and properties, return a read of it.
+    ``laid_out`` says that ``df`` is clustered already."""
     spark: SparkSession = df.sparkSession
-    out = clustered(df, cluster_by)
+    out = df if laid_out else clustered(df, cluster_by)
     out.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(name)
     props = dict(properties or {})
     if cluster_by:

@@ -70,6 +70,13 @@ def test_pipeline_run_matches_registered_tables(spark):
         assert out[name].count() == q[name](spark, SF_SMALL).count()
     assert out["gold_best_year"].count() == q["best_year_per_series"](spark, SF_SMALL).count()
     assert out["gold_q01_population"].count() == q["q01_with_population"](spark, SF_SMALL).count()
+    for name in [f"silver_{s.name}" for s in specs.ALL] + [f"gold_{n}" for n in specs.GOLD_COMMENTS]:
+        written = spark.table(f"strata_{name}")
+        for field in written.schema:
+            assert field.metadata.get("comment") == specs.COLUMN_COMMENTS[field.name], (name, field.name)
+        described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED strata_{name}").collect()}
+        assert described["Comment"]
+        assert f"quality={name.split('_')[0]}" in described["Table Properties"]
 
 
 def test_pipeline_records_expectations(spark):
