@@ -21,6 +21,7 @@ MAX_WORDS = 64
 SHINGLE, SIMILARITY, MIN_WORDS = 5, 0.8, 10
 #: Bands and MinHash rows of a band: at Jaccard 0.8, 1 - (1 - 0.8 ** 2) ** 4 = 98 % of pairs share a band.
 BANDS, ROWS = 4, 2
+BAND_BITS = (1 << (BANDS - 1).bit_length()) - 1
 #: Paragraphs whose counts a task sums before it sends them on.
 HELD = 400_000
 REMEMBERED = 300_000
@@ -102,7 +103,7 @@ class Cutter:
         return mix(np.add.reduceat(mix(h * ODD[np.arange(len(h)) - np.repeat(at, sizes)]), at)) if len(at) else h[:0]
 
     def keys(self, h: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """BANDS keys of each paragraph from ROWS least shingle hashes each."""
+        """BANDS keys of each paragraph from ROWS least shingle hashes each; the low bits tell the band."""
         shingle, left = self.shingles(h, at)
         sizes = np.diff(np.append(at, len(h)))
         usable = (left >= SHINGLE) | (np.repeat(sizes, sizes) == left)  # a short paragraph has one shingle, itself
@@ -113,7 +114,7 @@ class Cutter:
                 v = mix(shingle * ODD[8 + band * ROWS + row] + ODD[40 + band * ROWS + row])
                 v[~usable] = TOP
                 key = mix(key * np.uint64(31) + np.minimum.reduceat(v, at))
-            out[:, band] = key
+            out[:, band] = key & ~np.uint64(BAND_BITS) | np.uint64(band)
         return out
 
 
@@ -235,10 +236,11 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where(
         "doc_id IS NOT NULL")
-    keyed = counted(texts).select("hash", "n", F.posexplode("keys").alias("band", "key"))
-    rows = keyed.repartition("key").groupBy("key", "hash").agg(F.sum("n").alias("n"), F.min("band").alias("band"))
+    # the two random columns side by side and no band column: that is most of what is shuffled
+    keyed = counted(texts).select(F.explode("keys").alias("key"), "hash", "n")
+    rows = keyed.repartition("key").groupBy("key", "hash").agg(F.sum("n").alias("n"))
     shared = written(rows.withColumn("texts", F.count("*").over(Window.partitionBy("key")))
-                     .where("texts > 1 OR (n > 1 AND band = 0)"), "paragraph-keys")
+                     .where(f"texts > 1 OR (n > 1 AND key & {BAND_BITS} = 0)"), "paragraph-keys")
     wanted = written(shared.select("hash").distinct(), "paragraph-hashes")
     found = written(paragraphs(texts).join(wanted, "hash", "left_semi"), "paragraphs")
     buckets = shared.where("texts > 1").select("key", "hash", "n")
