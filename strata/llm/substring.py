@@ -252,7 +252,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                .withColumn("class_id", F.coalesce("label", "hash")))
     kept = classed.groupBy("class_id").agg(F.min(F.struct("doc_id", "idx")).alias("kept"), F.count("*").alias("times")).where("times > 1")
     gone = (classed.join(kept, "class_id").where("doc_id <> kept.doc_id OR idx <> kept.idx")
-            .select("doc_id", "idx", "n_words", "class_id", "kept").dropDuplicates(["doc_id", "idx"]))
+            .select("doc_id", "idx", "n_words", "class_id", "kept")
+            .repartition("doc_id").dropDuplicates(["doc_id", "idx"]))  # one exchange for this and the two groupings below
     runs = gone.withColumn("run", F.col("idx") - F.row_number().over(Window.partitionBy("doc_id").orderBy("idx")))
     first = F.min(F.struct("idx", "class_id", "kept"))
     return (runs.groupBy("doc_id", "run").agg(first.alias("f"), F.max("idx").alias("last"), F.sum("n_words").alias("n_words"))
