@@ -241,7 +241,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = keyed.repartition("key").groupBy("key", "hash").agg(F.sum("n").alias("n"))
     shared = written(rows.withColumn("texts", F.count("*").over(Window.partitionBy("key")))
                      .where(f"texts > 1 OR (n > 1 AND key & {BAND_BITS} = 0)"), "paragraph-keys")
-    wanted = written(shared.select("hash").distinct(), "paragraph-hashes")
+    wanted = checked(written(shared.select("hash").distinct(), "paragraph-hashes"))
     found = written(paragraphs(texts).join(wanted, "hash", "left_semi"), "paragraphs")
     buckets = shared.where("texts > 1").select("key", "hash", "n")
     near = buckets.select("hash").distinct()
