@@ -40,7 +40,8 @@ class Cutter:
 
     Passages repeat inside lines, not only as whole lines, so a paragraph is
     cut by its content alone: copies of a passage are cut alike wherever they
-    stand, but for the paragraphs at its ends.
+    stand, but for the paragraphs at its ends. A few words repeated over and
+    over are a paragraph of their own, whose shingles don't tell its length.
     """
 
     def __init__(self):
@@ -73,11 +74,15 @@ class Cutter:
         place = np.arange(len(h)) + text * RADIUS + RADIUS
         wide = np.full(int(place[-1]) + RADIUS + 1, TOP)
         wide[place] = pair
-        cut = pair < TOP
+        least = pair < TOP
         for d in range(1, RADIUS + 1):
-            cut &= (pair < wide[place - d]) & (pair <= wide[place + d])
+            least &= (pair <= wide[place - d]) & (pair <= wide[place + d])
+        # least ones near each other are equal: words that repeat over and over; such a run is cut where it begins and ends
+        cut = np.flatnonzero(least)
+        near = np.diff(place[cut]) <= RADIUS
+        cut = cut[~(np.append(False, near) & np.append(near, False))] if len(cut) else cut
         begins = first.copy()
-        begins[1:] |= cut[:-1]
+        begins[cut + 1] = True  # a text's last word has no pair, so this stays inside the text
         at = np.flatnonzero(begins)
         sizes = np.diff(np.append(at, len(h)))
         parts = -(-sizes // MAX_WORDS)

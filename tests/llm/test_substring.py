@@ -40,6 +40,20 @@ def test_near_copies_link_by_jaccard(spark):
     assert all(found.get(40 + i) == i for i in range(40))
 
 
+def test_words_repeated_over_and_over_are_a_passage(spark):
+    rng = random.Random(3)
+    rows = [(period * 20 + i, " ".join([prose(rng, rng.randint(5, 60))] + [" ".join(unit)] * (60 // period + i) + [prose(rng, rng.randint(5, 60))]))
+            for period in (1, 2, 3, 5) for unit in [prose(rng, period).split()] for i in range(12)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in substring.repeats(frame).collect()}
+    assert set(found) == {i for i, _ in rows if i % 20}
+    assert all(r.n_words >= 40 for r in found.values())
+    left = {r.doc_id: r.text.split() for r in substring.without_repeats(frame).collect()}
+    for i, words in left.items():
+        runs = [w for w in range(len(words) - 50) if len(set(words[w:w + 51])) <= 5]
+        assert bool(runs) == (i % 20 == 0)
+
+
 def test_bands_find_similar_sets():
     rng = random.Random(2)
     hit = []
