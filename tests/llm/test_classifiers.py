@@ -56,6 +56,32 @@ def test_kneser_ney_sums_to_one_and_matches_a_plain_version():
         assert p.sum() == pytest.approx(1 - (1 - p.sum()), abs=1) and p.sum() < 1.0001
 
 
+def random_texts(n_words):
+    rng = np.random.default_rng(3)
+    letters = {"aa": list("abcdefghijklmnopqrstuvwxyz"), "bb": list("ghijklmnopqrstuvwxyzäöüßéè"), "cc": [chr(0x4E00 + i) for i in range(300)]}
+    return [(lang, " ".join("".join(rng.choice(own, 8)) for _ in range(500))) for lang, own in letters.items() for _ in range(n_words // 500)]
+
+
+def test_language_model_keeps_every_gram(spark):
+    texts = random_texts(80_000)
+    docs = spark.createDataFrame(texts, "lang string, text string")
+    learned = langid.train(docs).models[0].value
+    keys = [langid.grams(" ".join(t for x, t in texts if x == lang).split())[0] for lang in learned.langs]
+    assert min(len(np.unique(k)) for k in keys) > 200_000
+    assert np.array_equal(learned.levels[-1].keys, np.unique(np.concatenate(keys)))
+
+
+def test_split_language_models_equal_one(spark):
+    texts = random_texts(1000)
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(texts + [(None, "unseen words ünd 丁七"), ("aa", None)])],
+                                 "doc_id long, lang string, text string")
+    one, many = langid.train(docs), langid.train(docs, cells=5000)
+    assert len(one.models) == 1 and len(many.models) > 5
+    keys = langid.grams(" ".join(t for _, t in texts).split() + ["zzzßzq", "丁abc", "x"])[0]
+    assert np.allclose(one.logs(keys), many.logs(keys), rtol=1e-12, atol=0)
+    assert sorted(map(str, langid.predict(docs, one).collect())) == sorted(map(str, langid.predict(docs, many).collect()))
+
+
 def test_quality_held_out(spark):
     found = queries.op8_quality(spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").collect()
     held = [r for r in found if r.held_out]
