@@ -66,6 +66,25 @@ def covered(part: list[str], region: list[str]) -> float:
     return len(own & there) / len(own)
 
 
+def edits(part: list[str], region: list[str]) -> int:
+    """Fewest words to replace, insert or leave out so that the part occurs in the region."""
+    at = np.arange(len(region) + 1)
+    words = np.array(["", *region], object)
+    row = np.zeros(len(at), np.int64)
+    for n, word in enumerate(part, 1):
+        one = np.append(n, np.minimum(row[:-1] + (words[1:] != word), row[1:] + 1))
+        row = np.minimum.accumulate(one - at) + at
+    return int(row.min())
+
+
+def nearly_whole(words: list[str], region: list[str]) -> bool:
+    """Whether the region holds OVERLAP of the words' shingles; of fewer words than one change leaves that of, all but one edit."""
+    if covered(words, region) >= OVERLAP:
+        return True
+    fragile = max(1, len(words) - SHINGLE + 1) * (1 - OVERLAP) < SHINGLE
+    return fragile and 1 <= (1 - OVERLAP) * len(words) + 1e-9 and edits(words, region) <= 1
+
+
 class Postings:
     """Values by term: the numbers and values of each term's entries, in order of number."""
 
@@ -87,7 +106,9 @@ class Index:
     """BM25 postings of item pieces, each piece's own score scaled to one, with the maximum of every block.
 
     A block is BLOCK pieces with consecutive numbers; pieces are numbered by
-    their heaviest term, so that similar ones share blocks.
+    their heaviest term, so that similar ones share blocks. A piece that would
+    miss THRESHOLD without one of its terms is scaled up until it doesn't;
+    ``own`` has the factor that gives the score as a share of its own again.
     """
 
     def __init__(self, pieces: list[tuple[int, list[str]]], df: dict[str, int], total: int, mean: float):
@@ -96,13 +117,16 @@ class Index:
             idf = {w: np.log(1 + (total - df[w] + 0.5) / (df[w] + 0.5)) for w in set(words)}
             norm = K1 * (1 - B + B * len(words) / mean)
             impact = {w: idf[w] * n * (K1 + 1) / (n + norm) for w, n in Counter(words).items()}
+            heaviest = max(impact, key=lambda w, i=impact: (i[w], w))
             whole = sum(impact.values())
-            weighed.append((max(impact, key=lambda w, i=impact: (i[w], w)), item, {w: v / whole for w, v in impact.items()}))
+            own = min(1.0, (1 - impact[heaviest] / whole) / THRESHOLD) if len(impact) > 1 else 1.0
+            weighed.append((heaviest, item, {w: v / whole / own for w, v in impact.items()}, own))
         weighed.sort(key=lambda x: x[:2])
-        self.owner = np.array([item for _, item, _ in weighed], np.int64)
+        self.owner = np.array([item for _, item, _, _ in weighed], np.int64)
+        self.own = np.array([own for _, _, _, own in weighed])
         self.terms: dict[str, int] = {}
         term, piece, value = [], [], []
-        for number, (_, _, impact) in enumerate(weighed):
+        for number, (_, _, impact, _) in enumerate(weighed):
             for w in sorted(impact):
                 term.append(self.terms.setdefault(w, len(self.terms)))
                 piece.append(number)
@@ -159,7 +183,7 @@ class _Terms(dict):
 class Searcher:
     """Queries an index with every passage of a text and verifies what it retrieves."""
 
-    def __init__(self, index: Index, items: dict[int, tuple[list[str], list[str]]]):
+    def __init__(self, index: Index, items: dict[int, tuple[list[str], list[str], bool]]):
         self.index, self.items = index, items
         self.term = _Terms(index.terms)
 
@@ -181,11 +205,14 @@ class Searcher:
             found = self.index.search(pairs // len(self.index.terms), pairs % len(self.index.terms), THRESHOLD)
             for passage, piece, score in found:
                 at, item = (first + passage) * PIECE, int(self.index.owner[piece])
-                question, answer = self.items[item]
+                question, answer, given = self.items[item]
+                score *= float(self.index.own[piece])
                 around = len(question) + len(answer)
                 region = words_of(" ".join(raw[max(0, at - around):at + 2 * PIECE + around]))
                 q, a = covered(question, region), covered(answer, region)
-                if q >= OVERLAP and a >= OVERLAP and (item not in best or score > best[item][2]):
+                if item in best and score <= best[item][2]:
+                    continue
+                if q >= OVERLAP and a >= OVERLAP or not given and nearly_whole(question + answer, region):
                     best[item] = (item, at, score, q, a)
         return [best[i] for i in sorted(best)]
 
@@ -195,7 +222,7 @@ LEAK = "doc_id long, item_id long, passage long, score double, question_overlap
 
 
 def pieces_of(items: DataFrame) -> DataFrame:
-    """``(item_id, question, answer, pieces)``: normalised words of the parts, and the whole cut into indexed pieces."""
+    """``(item_id, question, answer, given, pieces)``: normalised words of the parts, whether the answer came as such, and the whole cut into indexed pieces."""
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             split = [(words_of(q or ""), words_of(a)) if a is not None else parts(q or "")
@@ -207,10 +234,10 @@ def pieces_of(items: DataFrame) -> DataFrame:
                 cut.append([words[i:i + PIECE] for i in range(0, last, PIECE // 2)] if len(words) > PIECE else [words])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([q for q, _ in split], pa.list_(pa.string())),
-                 pa.array([a for _, a in split], pa.list_(pa.string())),
-                 pa.array(cut, pa.list_(pa.list_(pa.string())))], ["item_id", "question", "answer", "pieces"])
+                 pa.array([a for _, a in split], pa.list_(pa.string())), batch.column(2).is_valid(),
+                 pa.array(cut, pa.list_(pa.list_(pa.string())))], ["item_id", "question", "answer", "given", "pieces"])
 
-    return mapped(items, run, "item_id long, question array<string>, answer array<string>, pieces array<array<string>>")
+    return mapped(items, run, "item_id long, question array<string>, answer array<string>, given boolean, pieces array<array<string>>")
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
@@ -221,8 +248,10 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     all items. Each passage of 2 * PIECE words (every PIECE words) is a query;
     pieces scoring THRESHOLD of their own score are retrieved, and an item
     counts when OVERLAP of the word shingles of its question, and of its
-    answer, occur around the passage. Without an answer column an item's last
-    sentences are its answer. Indexes hold SHARD_ITEMS items each; more items
+    answer, occur around the passage. Without an answer column (or value) an
+    item's last sentences are its answer, and it also counts when OVERLAP of
+    the shingles of its whole text occur, or, where a single changed word costs
+    more than that, when one word is replaced, added or missing. Indexes hold SHARD_ITEMS items each; more items
     mean more passes over the texts. Null or empty texts and items match
     nothing; rows with a null document id are searched too, items with a null
     id are not; repeated documents are each returned, repeated items (same id)
@@ -253,7 +282,7 @@ def searched(texts: DataFrame, own: DataFrame, df: DataFrame, total: int, mean:
     terms = own.select(F.explode(F.flatten("pieces")).alias("word")).distinct()
     counts = {r.word: r.df for r in df.join(terms, "word", "left_semi").collect()}  # words of SHARD_ITEMS items
     rows = sorted(own.collect(), key=lambda r: r.item_id)
-    items = {r.item_id: (list(r.question), list(r.answer)) for r in rows}
+    items = {r.item_id: (list(r.question), list(r.answer), r.given) for r in rows}
     index = Index([(r.item_id, list(p)) for r in rows for p in r.pieces], counts, total, mean)
     shared = texts.sparkSession.sparkContext.broadcast((index, items))
 

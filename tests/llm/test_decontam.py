@@ -63,3 +63,35 @@ def test_block_max_search_is_exact():
             np.add.at(scores, index.pieces.numbers[at], index.pieces.values[at])
             want |= {(p, int(i)): scores[i] for i in np.flatnonzero(scores >= threshold)}
         assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_one_changed_word_in_an_invented_answer(spark):
+    first = "the old harbour town keeps its records of every ship and cargo in a long hall beside the northern gate tower"
+    answer = "clerks copied seven ledgers by lamplight every winter"
+    short = "which river feeds the mill pond below grey abbey? the slow water of the brindle feeds it"
+    texts = {1: f"{first}. {answer}.", 2: f"{short}.", 3: "what lies beyond the zanzibarian hill?"}
+    items = spark.createDataFrame(list(texts.items()), "item_id long, text string")
+    near = [(1, texts[1].replace("seven", "eight")), (2, texts[2].replace("slow", "cold")), (3, texts[2].replace("slow ", "")),
+            (4, texts[2].replace("slow", "very slow")), (5, texts[3].replace("zanzibarian", "green")), (6, f"{first}."),
+            (7, texts[2].replace("slow", "cold").replace("mill", "fish")), (8, texts[2].replace("brindle", "zanzibarian"))]
+    docs = spark.createDataFrame([(i, f"Some words before it. {t} And some after.") for i, t in near], "doc_id long, text string")
+    assert pairs(decontam.leaks(docs, items).collect()) == {(1, 1), (2, 2), (3, 2), (4, 2), (5, 3), (8, 2)}
+    given = spark.createDataFrame([(1, first, answer)], "item_id long, text string, answer string")
+    assert not pairs(decontam.leaks(docs, given, answer_col="answer").collect())
+
+
+def test_edits_against_brute_force():
+    rng = np.random.default_rng(6)
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, old = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(old[j - 1] + (x != y), old[j] + 1, row[-1] + 1))
+        return row[-1]
+
+    for _ in range(60):
+        part, region = (list(rng.choice(list("abcd"), n)) for n in (rng.integers(1, 7), rng.integers(0, 9)))
+        want = min(distance(part, region[i:j]) for i in range(len(region) + 1) for j in range(i, len(region) + 1))
+        assert decontam.edits(part, region) == want
