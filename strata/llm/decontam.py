@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -217,7 +218,8 @@ class Searcher:
         return [best[i] for i in sorted(best)]
 
 
-_SEARCHERS: dict[int, Searcher] = {}
+#: By a token of the driver's: an address may serve another index once its own is freed.
+_SEARCHERS: dict[str, Searcher] = {}
 LEAK = "doc_id long, item_id long, passage long, score double, question_overlap double, answer_overlap double"
 
 
@@ -284,14 +286,13 @@ def searched(texts: DataFrame, own: DataFrame, df: DataFrame, total: int, mean:
     rows = sorted(own.collect(), key=lambda r: r.item_id)
     items = {r.item_id: (list(r.question), list(r.answer), r.given) for r in rows}
     index = Index([(r.item_id, list(p)) for r in rows for p in r.pieces], counts, total, mean)
-    shared = texts.sparkSession.sparkContext.broadcast((index, items))
+    shared, token = texts.sparkSession.sparkContext.broadcast((index, items)), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]):
-        key = id(shared.value)
-        searcher = _SEARCHERS.get(key)
+        searcher = _SEARCHERS.get(token)
         if searcher is None:
             _SEARCHERS.clear()
-            searcher = _SEARCHERS[key] = Searcher(*shared.value)
+            searcher = _SEARCHERS[token] = Searcher(*shared.value)
         for batch in slices(batches):
             out = [(d, *leak) for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
                    for leak in searcher.leaks(t)]

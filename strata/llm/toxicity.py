@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -293,7 +294,8 @@ def examples(chosen: DataFrame, model: Model) -> DataFrame:
     return mapped(chosen.select("text", "label"), run, "label int, kernels array<double>")
 
 
-_TESTERS: dict[int, Tester] = {}
+#: By a token of the driver's: an address may serve another model once its own is freed.
+_TESTERS: dict[str, Tester] = {}
 
 
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -302,14 +304,14 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     A null or empty text touches no landmark and gets the lowest score the
     model gives. Ids may be null or repeat; each row is returned.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # LANDMARKS words
+    shared, token = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex  # LANDMARKS words
 
     def run(batches: Iterator[pa.RecordBatch]):
         learned = shared.value
-        tester = _TESTERS.get(id(learned))
+        tester = _TESTERS.get(token)
         if tester is None:
             _TESTERS.clear()
-            tester = _TESTERS[id(learned)] = Tester(learned.landmarks)
+            tester = _TESTERS[token] = Tester(learned.landmarks)
         for batch in slices(batches):
             owner, kernels = tester.features(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(

@@ -95,3 +95,24 @@ def test_edits_against_brute_force():
         part, region = (list(rng.choice(list("abcd"), n)) for n in (rng.integers(1, 7), rng.integers(0, 9)))
         want = min(distance(part, region[i:j]) for i in range(len(region) + 1) for j in range(i, len(region) + 1))
         assert decontam.edits(part, region) == want
+
+
+def test_shards_and_reused_addresses(spark, docs, monkeypatch):
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    listed = [(r.item_id, r.text) for r in items.collect()]
+    planted = spark.createDataFrame([(9000 + i, f"Some words before it {t} and after") for i, t in listed], "doc_id long, text string")
+    some = docs.select("doc_id", "text").limit(100).union(planted)
+    whole = pairs(decontam.leaks(some, items).collect())
+    monkeypatch.setattr(decontam, "SHARD_ITEMS", -(-len(listed) // 3))
+    assert pairs(decontam.leaks(some, items).collect()) == whole
+
+    # one process searches both indexes, and the second's broadcast lies where the first's was
+    runs = []
+    monkeypatch.setattr(decontam, "mapped", lambda df, run, schema: runs.append(run))
+    monkeypatch.setattr(decontam, "id", lambda value: 7, raising=False)
+    for word in ("river", "castle"):
+        item = spark.createDataFrame([(len(word), [word] * 3, [], False, [[word] * 3])],
+                                     "item_id long, question array<string>, answer array<string>, given boolean, pieces array<array<string>>")
+        decontam.searched(planted, item, spark.createDataFrame([(word, 1)], "word string, df long"), 2, 3.0)
+    batch = spark.createDataFrame([(1, "river " * 3), (2, "castle " * 3)], "doc_id long, text string").toArrow().to_batches()
+    assert [[r["doc_id"] for out in run(iter(batch)) for r in out.to_pylist()] for run in runs] == [[1], [2]]
