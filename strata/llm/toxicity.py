@@ -22,7 +22,8 @@ LANDMARKS = 96
 STEMS = range(4, 9)
 REMEMBERED = 150_000
 LETTERS = re.compile(r"[\W\d_]+")
-SPACED = re.compile(r"(?<!\S)(?:\S ){3,}\S(?!\S)")
+#: Neighbouring words of at most three letters each, or of signs, whatever white space is between them.
+SHORT = re.compile(r"(?<!\S){0}(?:\s+{0})+(?!\S)".format(r"(?=\S)(?:[^\w\s]*\w){0,3}[^\w\s]*"))
 
 
 def plain(word: str) -> str:
@@ -31,15 +32,26 @@ def plain(word: str) -> str:
 
 
 def sentences(text: str) -> tuple[list[str], np.ndarray]:
-    """A text's words and the number of each one's sentence; spelled-out words (single characters in a row) are joined too."""
-    words = text.lower().split()
+    """A text's words and the number of each one's sentence.
+
+    Neighbouring short words are joined too, from each of them on (up to
+    WINDOW characters), since a word may be spelled out or broken up; those of
+    one run are a sentence of their own.
+    """
+    low = text.lower()
+    words = low.split()
     ends = np.fromiter((w[-1] in ".!?" for w in words), np.int64, len(words))
     number = np.cumsum(ends) - ends
-    joined = [m.group().replace(" ", "") for m in SPACED.finditer(text.lower())]
+    joined, run = [], []
+    for n, m in enumerate(SHORT.finditer(low)):
+        own = [plain(w)[1:] for w in m.group().split()]
+        for i in range(len(own) - 1):
+            if own[i]:
+                joined.append("".join(own[i:i + WINDOW])[:WINDOW - 1])
+                run.append(n)
     if joined:
-        last = int(number[-1]) if len(number) else 0
+        number = np.concatenate((number, number[-1] + 1 + np.array(run)))
         words = words + joined
-        number = np.concatenate((number, last + 1 + np.arange(len(joined))))
     return words, number
 
 
@@ -56,46 +68,64 @@ def kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     while every step handles all pairs.
     """
     n, p, q = len(a), a.shape[1], b.shape[1]
-    same = (a[:, :, None] == b[:, None, :]) & (a[:, :, None] > 0)
-    upto = np.ones((n, p + 1, q + 1), np.float32)
+    a, b = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)  # a step handles neighbouring numbers
+    same = (a[:, None] == b[None]) & (a[:, None] > 0)
+    upto = np.ones((p + 1, q + 1, n), np.float32)
     for _ in range(LENGTH - 1):
-        fresh = np.zeros((n, p + 1, q + 1), np.float32)
+        fresh = np.zeros((p + 1, q + 1, n), np.float32)
         for i in range(1, p + 1):
             run = np.zeros(n, np.float32)
             for j in range(1, q + 1):
-                run = DECAY * (run + DECAY * same[:, i - 1, j - 1] * upto[:, i - 1, j - 1])
-                fresh[:, i, j] = DECAY * fresh[:, i - 1, j] + run
+                run = DECAY * (run + DECAY * same[i - 1, j - 1] * upto[i - 1, j - 1])
+                fresh[i, j] = DECAY * fresh[i - 1, j] + run
         upto = fresh
-    return (same * upto[:, :p, :q]).sum(axis=(1, 2), dtype=np.float64) * DECAY ** 2
+    return (same * upto[:p, :q]).sum(axis=(0, 1), dtype=np.float64) * DECAY ** 2
 
 
 class Landmarks:
     """Landmark words and the kernel of other words with them.
 
-    A word is compared with a landmark when it holds all the landmark's
-    distinct letters, whatever stands between them; otherwise their kernel
-    counts as zero. Letters are folded into 64 classes for that test.
+    A word is compared with a landmark when they share a subsequence of LENGTH
+    characters; their kernel is zero otherwise.
     """
 
     def __init__(self, words: list[str]):
         self.words = words
         self.width = max((len(w) for w in words), default=1)
         self.codes = coded(words, self.width) if words else np.zeros((0, 1), np.uint32)
-        self.masks = self.letters(self.codes)
         self.size = np.sqrt(np.maximum(self.pairs(self.codes, self.codes), 1e-9)) if words else np.ones(0)
         grid = [np.repeat(np.arange(len(words)), len(words)), np.tile(np.arange(len(words)), len(words))]
         self.gram = (self.pairs(self.codes[grid[0]], self.codes[grid[1]]).reshape(len(words), len(words))
                      / self.size[:, None] / self.size[None, :]) if words else np.zeros((0, 0))
 
     @staticmethod
-    def letters(codes: np.ndarray) -> np.ndarray:
-        bits = np.where(codes > 0, np.uint64(1) << (codes.astype(np.uint64) % np.uint64(64)), np.uint64(0))
-        return np.bitwise_or.reduce(bits, axis=1)
+    def shared(codes: np.ndarray, landmark: np.ndarray) -> np.ndarray:
+        """Rows whose longest common subsequence with the landmark has LENGTH characters or more.
+
+        A bit of ``row`` is a place of the landmark that raises the length; a
+        column of the comparison is one step for all rows.
+        """
+        letters = landmark[landmark > 0]
+        match = np.zeros(codes.shape, np.uint32)
+        for letter in np.unique(letters):
+            match[codes == letter] = sum(1 << int(i) for i in np.flatnonzero(letters == letter))
+        some = np.flatnonzero((match > 0).sum(axis=1) >= LENGTH)
+        match = np.ascontiguousarray(match[some].T)
+        row = np.full(len(some), (1 << len(letters)) - 1, np.uint64)
+        for j in range(codes.shape[1]):
+            both = row & match[j]
+            row = (row + both) | (row - both)
+        length = len(letters) - np.bitwise_count(row & np.uint64((1 << len(letters)) - 1)).astype(np.int64)
+        return some[length >= LENGTH]
 
     @staticmethod
     def pairs(a: np.ndarray, b: np.ndarray, block: int = 4096) -> np.ndarray:
-        parts = [kernel(a[i:i + block], b[i:i + block]) for i in range(0, len(a), block)]
-        return np.concatenate(parts) if parts else np.empty(0)
+        out, width = np.empty(len(a)), (a > 0).sum(axis=1)
+        order = np.argsort(width, kind="stable")
+        for i in range(0, len(a), block):  # words of like length together, without their padding
+            own = order[i:i + block]
+            out[own] = kernel(a[own, :max(1, width[own[-1]])], b[own])
+        return out
 
     def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """``(rows, values)``: the words with a kernel above zero and their kernels with all landmarks."""
@@ -108,10 +138,9 @@ class Landmarks:
             owner = np.concatenate((owner, [i for i, _ in more]))
             pieces = [w[:WINDOW] for w in pieces] + [w for _, w in more]
         codes = coded(pieces, WINDOW)
-        masks = self.letters(codes)
         left, right = [], []
-        for k, mask in enumerate(self.masks):
-            hit = np.flatnonzero(masks & mask == mask)
+        for k, landmark in enumerate(self.codes):
+            hit = self.shared(codes, landmark)
             left.append(hit)
             right.append(np.full(len(hit), k))
         left, right = np.concatenate(left or [owner[:0]]), np.concatenate(right or [owner[:0]])

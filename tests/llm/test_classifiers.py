@@ -132,6 +132,24 @@ def test_string_kernel():
             assert got == pytest.approx(plain_kernel(a, b), rel=1e-5)
 
 
+def test_kernels_of_masked_and_broken_words():
+    marks = toxicity.Landmarks(["^stup", "^idio", "^tras", "^idiotic", "^nnana"])
+    words = ["st*pid", "stvpid", "tr4sh", "idi0t", "idiot", "iditoic", "nanana", "banana", "the", "started", "plain", "x" * 30 + "idiot", ""]
+    rows, values = marks(words)
+    found = np.zeros((len(words), len(marks.words)))
+    found[rows] = values
+    size = [plain_kernel(m, m) ** 0.5 for m in marks.words]
+    for i, word in enumerate(words):
+        if len(word) < toxicity.WINDOW:
+            assert found[i] == pytest.approx([plain_kernel(toxicity.plain(word), m) / z for m, z in zip(marks.words, size)], rel=1e-5)
+    assert (found[:4].max(axis=1) > 0).all() and found[-2].max() > 0 and not found[-1].any()
+
+    for text in ("you id iot there", "such i  d\ti\no t", "an i d-i o t.", "of an (id iot), maybe", "you idi ot!", "an i . d * i . o t"):
+        joined, number = toxicity.sentences(text)
+        assert "idiot" in joined and len(joined) == len(number) and (np.diff(number) >= 0).all()
+    assert toxicity.sentences("longer words only. nothing joined")[0] == ["longer", "words", "only.", "nothing", "joined"]
+
+
 def test_toxicity_held_out_gaps_and_odd_rows(spark, odd, nothing):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     model = queries.toxicity_model(spark, SF, docs)
