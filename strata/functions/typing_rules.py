@@ -47,16 +47,20 @@ def period_num(period: Column) -> Column:
     return F.nullif(F.regexp_extract(period, r"\d+", 0), F.lit("")).try_cast("int")
 
 
-def data_columns(cols: dict[str, Column]) -> dict[str, Column]:
-    """Typed fact columns from raw (cleaned) expressions, as one projection.
+def value_columns(cols: dict[str, Column]) -> dict[str, Column]:
+    """Year and value of the fact, typed from raw (cleaned) expressions."""
+    return {**cols, "year": try_int(cols["year"]), "value": try_double(cols["value"])}
 
-    ``year`` feeds three outputs; subexpression elimination evaluates it once.
-    """
-    y = try_int(cols["year"])
-    period = cols["period"]
-    return {**cols, "year": y, "value": try_double(cols["value"]),
-            "period_start_date": period_start_date(period, y),
-            "period_type": period_type(period), "period_num": period_num(period)}
+
+def period_columns(cols: dict[str, Column]) -> dict[str, Column]:
+    """The three columns that the typed year and the period decide."""
+    return {**cols, "period_start_date": period_start_date(cols["period"], cols["year"]),
+            "period_type": period_type(cols["period"]), "period_num": period_num(cols["period"])}
+
+
+def data_columns(cols: dict[str, Column]) -> dict[str, Column]:
+    """All typed fact columns as one projection."""
+    return period_columns(value_columns(cols))
 
 
 def series_columns(cols: dict[str, Column]) -> dict[str, Column]:

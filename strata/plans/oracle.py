@@ -103,7 +103,9 @@ def lk_cols(code: str, text: str) -> list[str]:
 
 cte("measure_base", f"""
 SELECT {pad('k', 2)} AS measure_code, measure_text, {TAIL}, CAST(k AS VARCHAR) AS sort_sequence
-FROM (SELECT p_partkey % 22 + 1 AS k, min(p_name) AS measure_text FROM part GROUP BY 1) WHERE k <= 20""")
+FROM (SELECT k, arg_min(p_name, h) || ' to ' || arg_max(p_name, h) || ', no. ' || {pad('k', 2)} AS measure_text
+      FROM (SELECT p_name, p_partkey % 22 + 1 AS k, p_partkey * 7919 % 104729 * 1000000000000 + p_partkey AS h FROM part) t
+      GROUP BY k) WHERE k <= 20""")
 cte("raw_measure", dirty("measure_base", "measure_code", "01", lk_cols("measure_code", "measure_text")), "measure_base")
 cte("supplier_nations", "SELECT DISTINCT s_nationkey FROM supplier")
 cte("sector_base", f"""

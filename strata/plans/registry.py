@@ -563,7 +563,7 @@ def best_year_per_series(spark, sf):
 
 # ---- analyst questions (Q1–Q6) ---------------------------------------------------------
 # Parameters fit the derived data: sectors are region names, measures part names.
-TREND = {"sector": "america", "measure": "bolt"}
+TREND = {"sector": "america", "measure": "widget"}
 RANKING_MEASURE = "ring"
 COMPARE = {"sectors": {"america": "america", "asia": "asia"}, "measure": "ring", "since": 1998}
 

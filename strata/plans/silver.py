@@ -44,18 +44,30 @@ def build_silver(raw: DataFrame, spec: TableSpec, gate_first: bool = False,
         cols = spec.typer(cols)
     df = raw.select(*[e.alias(n) for n, e in cols.items()])
     tb, pv = spec.prefer if spec.prefer else (None, None)
+
+    def one_row(rows: DataFrame) -> DataFrame:
+        return deduplicate(rows, spec.key, tiebreak_col=tb, prefer_value=pv, order_by=_order(spec))
+
     if gate_first:
-        df = expect_all_or_drop(df, spec.rules)
-        return deduplicate(df, spec.key, tiebreak_col=tb, prefer_value=pv, order_by=_order(spec))
+        return _derived(one_row(expect_all_or_drop(df, spec.rules)), spec)
     if not gate or not spec.rules:
-        return deduplicate(df, spec.key, tiebreak_col=tb, prefer_value=pv, order_by=_order(spec))
+        return _derived(one_row(df), spec)
+    if spec.derived is not None:
+        # the rules as one predicate: it reads more than the key, so Catalyst keeps it above the window
+        return _derived(expect_all_or_drop(one_row(df), spec.rules, split=False), spec)
     # Rules are evaluated once, inside the projection above, and applied to the
     # dedup survivors. (A plain filter after the window would be pushed by
     # Catalyst below the window for its key-only rules, re-deriving the cleaned
     # keys from raw columns a second time just to filter.)
     marked = df.withColumn("_pass", all_rules_pass(spec.rules))
-    deduped = deduplicate(marked, spec.key, tiebreak_col=tb, prefer_value=pv, order_by=_order(spec))
-    return deduped.where(F.col("_pass")).drop("_pass")
+    return one_row(marked).where(F.col("_pass")).drop("_pass")
+
+
+def _derived(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """Adds the columns that the key decides: made for the survivors only, so they are neither shuffled nor sorted."""
+    if spec.derived is None:
+        return rows
+    return rows.select(*[e.alias(n) for n, e in spec.derived({c: F.col(f"`{c}`") for c in rows.columns}).items()])
 
 
 RAW_BUILDERS = {

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from ..functions.typing_rules import data_columns, population_columns, series_columns
+from ..functions.typing_rules import period_columns, population_columns, series_columns, value_columns
 
 
 @dataclass(frozen=True)
@@ -23,6 +23,7 @@ class TableSpec:
     upper: tuple[str, ...] = ()
     key: tuple[str, ...] = ()
     typer: Callable[[dict], dict] | None = None   # column-level typing rule
+    derived: Callable[[dict], dict] | None = None  # columns that the typed key decides
     prefer: tuple[str, str] | None = None       # (column, value) that wins dedup
     order: tuple[tuple[str, str], ...] = ()     # extra dedup order: (column, "asc"|"desc")
     rules: dict[str, str] = field(default_factory=dict)
@@ -69,7 +70,8 @@ DATA = TableSpec(
     name="data", bronze="raw_data",
     raw_columns=("series_id", "year", "period", "value", "footnote_codes"),
     folder="backfill", upper=("series_id", "period", "footnote_codes"),
-    key=("series_id", "year", "period"), typer=data_columns, prefer=("footnote_codes", "R"),
+    key=("series_id", "year", "period"), typer=value_columns, derived=period_columns,
+    prefer=("footnote_codes", "R"),
     order=(("value", "desc"), ("footnote_codes", "asc")), rules=DATA_RULES,
     cluster_by=("series_id", "year", "period_type"),
     comment="Typed, cleaned fact; one row per (series_id, year, period); revised values win.")

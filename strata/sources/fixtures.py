@@ -106,11 +106,16 @@ def _lookup_tail(sort_seq: Column) -> list[Column]:
 
 @memo_frame
 def raw_measure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One measure per remainder of the part key: an aggregate over all parts, its
-    text the first part name. Codes 21 and 22 are no measures, so series that carry them stay unmatched."""
-    k = F.col("p_partkey") % 22 + 1
-    p = table(spark, sf_dir, "part").groupBy(k.alias("k")).agg(F.min("p_name").alias("measure_text")).where("k <= 20")
-    df = p.select(_pad(F.col("k"), 2).alias("measure_code"), "measure_text", *_lookup_tail(F.col("k")))
+    """One measure per remainder of the part key: an aggregate over all parts. Its text names the
+    first and the last of its parts in a scattered order, and its code, so measures stay distinct
+    however many parts there are. Codes 21 and 22 are no measures, so series that carry them stay unmatched."""
+    key = F.col("p_partkey")
+    scattered = key * 7919 % 104729 * F.lit(10 ** 12) + key
+    p = (table(spark, sf_dir, "part").groupBy((key % 22 + 1).alias("k"))
+         .agg(F.min_by("p_name", scattered).alias("low"), F.max_by("p_name", scattered).alias("high")).where("k <= 20"))
+    code = _pad(F.col("k"), 2)
+    df = p.select(code.alias("measure_code"), F.concat("low", F.lit(" to "), "high", F.lit(", no. "), code).alias("measure_text"),
+                  *_lookup_tail(F.col("k")))
     return with_dirty_copies(df, "measure_code", "01")
 
 
