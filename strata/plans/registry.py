@@ -18,9 +18,9 @@ from ..functions.strings import clean_strings, rename_columns, to_upper
 from ..functions.typing_rules import schema_data, schema_population, schema_series
 from ..operators import aggregates, dedup, joins, quality, ranking, reconcile
 from ..session import scratch_path, session_key
-from ..sources import fixtures, manifest, sinks, tsv
-from ..streaming import ingest
-from . import ask, ask_sql, gold, gold_sql, oracle, silver, specs
+from ..sources import fixtures, layout, manifest, sinks, tsv
+from ..streaming import incremental, ingest
+from . import ask, ask_sql, gold, gold_sql, maintained_gold, oracle, silver, specs
 from .oracle import sround, with_ctes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -683,3 +683,93 @@ def ask_latest_year_ranking_sql(spark, sf):
 @register("ask_sector_comparison_sql", ORACLE["ask_sector_comparison"])
 def ask_sector_comparison_sql(spark, sf):
     return ask_sql.ask_sector_comparison(gold.gold_quarterly(_wide(spark, sf)), **COMPARE)
+
+
+# ---- incremental silver and maintained gold (S2 to T1, A1-A3, A5) ------------------------
+WAVES = 3
+
+
+def _wave(raw: DataFrame, number: int) -> DataFrame:
+    """One of the waves in which raw rows land: scattered, so revisions follow or precede what they revise."""
+    return raw.where(F.pmod(F.xxhash64(*raw.columns), F.lit(WAVES)) == number)
+
+
+def _fact_waves(spark, sf):
+    """Silver data and its aggregates after all waves, each landed and refreshed by itself."""
+    def build():
+        root = scratch_path(spark, "incremental")
+        kept = maintained_gold.ProductivityGold(spark, root, _silver_all(spark, sf), buckets=8)
+        raw = fixtures.raw_data(spark, sf)
+        for number in range(WAVES):
+            ingest.land(spark, _wave(raw, number), specs.DATA, f"{root}/landing")
+            table = incremental.refresh(spark, specs.DATA, f"{root}/landing", root, buckets=8, then=[kept.follow])
+        return {"silver": incremental.silver(table, specs.DATA), **kept.tables()}
+    return _memo(spark, sf, "incremental:data", build)
+
+
+@register("silver_incremental", with_ctes("SELECT * FROM s_data", "s_data"))
+def silver_incremental(spark, sf):
+    return _fact_waves(spark, sf)["silver"]
+
+
+@register("quarterly_maintained", ORACLE["quarterly_aggregation"])
+def quarterly_maintained(spark, sf):
+    return rounded(_fact_waves(spark, sf)["quarterly"], avg_value=6)
+
+
+@register("annual_maintained", ORACLE["annual_aggregation"])
+def annual_maintained(spark, sf):
+    return rounded(_fact_waves(spark, sf)["annual"], avg_value=6)
+
+
+@register("annual_sums_maintained", ORACLE["annual_sums"])
+def annual_sums_maintained(spark, sf):
+    return rounded(_fact_waves(spark, sf)["annual_sums"], annual_sum=6)
+
+
+@register("population_stats_maintained", ORACLE["population_stats"])
+def population_stats_maintained(spark, sf):
+    root = scratch_path(spark, "incremental-population")
+    kept = maintained_gold.PopulationGold(spark, root)
+    raw = fixtures.raw_population_by_nation(spark, sf)
+    for number in range(WAVES):
+        ingest.land(spark, _wave(raw, number), specs.POPULATION, f"{root}/landing/{number}")
+        table = incremental.refresh(spark, specs.POPULATION, f"{root}/landing/*", root, buckets=4, then=[kept.follow])
+    return rounded(kept.table(), mean_population=6, stddev_population=2)
+
+
+# ---- manifest in place, layout on several keys (S16, S9) ---------------------------------
+
+@register("manifest_upsert_in_place", _UPSERT_SQL)
+def manifest_upsert_in_place(spark, sf):
+    """The stored manifest and the pending entries as two batches; the second writes the buckets it touches."""
+    pending, state = _pending(spark, sf)
+    kept = manifest.kept_manifest(spark, scratch_path(spark, "manifest"), buckets=16)
+    manifest.upsert_in_place(kept, state, 0)
+    manifest.upsert_in_place(kept, pending, 1)
+    return kept.read().select("url", "last_modified")
+
+
+#: Keys of the Z-ordered wide table, and what is asked of it: one key at a time, and all of them.
+LAYOUT_KEYS = ("series_id", "year", "measure_code")
+PROBES = {
+    "series": {"series_id": ("PRS00000003", "PRS00000006")},
+    "year": {"year": (1997, 1997)},
+    "measure": {"measure_code": ("05", "07")},
+    "all": {"series_id": ("PRS00000002", None), "year": (1996, 1999), "measure_code": (None, "12")},
+}
+
+
+def _probe_sql(conditions: dict) -> str:
+    parts = [f"{k} {op} {v!r}" for k, ends in conditions.items() for op, v in zip((">=", "<="), ends) if v is not None]
+    return " AND ".join(parts)
+
+
+@register("layout_zorder_lookup", with_ctes(" UNION ALL ".join(
+    f"SELECT '{name}' AS probe, * FROM wide WHERE {_probe_sql(conditions)}" for name, conditions in PROBES.items()), "wide"))
+def layout_zorder_lookup(spark, sf):
+    """The wide table in Z order of three keys; each probe opens only files whose zones can hold its rows."""
+    path = scratch_path(spark, "wide-zorder")
+    layout.write_z_ordered(_wide(spark, sf), path, LAYOUT_KEYS, files=32)
+    return _union([layout.read_where(spark, path, conditions).select(F.lit(name).alias("probe"), "*")
+                   for name, conditions in PROBES.items()])

@@ -21,16 +21,8 @@ def _order(spec: TableSpec):
     return cols
 
 
-def build_silver(raw: DataFrame, spec: TableSpec, gate_first: bool = False,
-                 gate: bool = True) -> DataFrame:
-    """The silver recipe for any spec.
-
-    By default the quality gate runs after dedup (a preferred row that fails
-    the gate removes its key); ``gate_first=True`` gates before dedup so the
-    best *valid* row survives instead. ``gate=False`` returns the rows that
-    reach the (post-dedup) gate, for callers that gate themselves.
-    """
-    # rename -> clean -> upper-case -> type, fused into ONE projection
+def typed(raw: DataFrame, spec: TableSpec) -> DataFrame:
+    """rename -> clean -> upper-case -> type, fused into ONE projection."""
     cols = {}
     for f in raw.schema.fields:
         name = spec.rename.get(f.name, f.name)
@@ -42,32 +34,50 @@ def build_silver(raw: DataFrame, spec: TableSpec, gate_first: bool = False,
         cols[name] = e
     if spec.typer is not None:
         cols = spec.typer(cols)
-    df = raw.select(*[e.alias(n) for n, e in cols.items()])
-    tb, pv = spec.prefer if spec.prefer else (None, None)
+    return raw.select(*[e.alias(n) for n, e in cols.items()])
+
+
+def preference(spec: TableSpec) -> dict:
+    """How the spec chooses among rows of one key, as arguments of ``deduplicate``."""
+    column, value = spec.prefer if spec.prefer else (None, None)
+    return {"tiebreak_col": column, "prefer_value": value, "order_by": _order(spec)}
+
+
+def winners(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """One typed row per key, the preferred one."""
+    return deduplicate(rows, spec.key, **preference(spec))
+
+
+def derived(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """Adds the columns that the key decides: made for the survivors only, so they are neither shuffled nor sorted."""
+    if spec.derived is None:
+        return rows
+    return rows.select(*[e.alias(n) for n, e in spec.derived({c: F.col(f"`{c}`") for c in rows.columns}).items()])
 
-    def one_row(rows: DataFrame) -> DataFrame:
-        return deduplicate(rows, spec.key, tiebreak_col=tb, prefer_value=pv, order_by=_order(spec))
 
+def build_silver(raw: DataFrame, spec: TableSpec, gate_first: bool = False,
+                 gate: bool = True) -> DataFrame:
+    """The silver recipe for any spec.
+
+    By default the quality gate runs after dedup (a preferred row that fails
+    the gate removes its key); ``gate_first=True`` gates before dedup so the
+    best *valid* row survives instead. ``gate=False`` returns the rows that
+    reach the (post-dedup) gate, for callers that gate themselves.
+    """
+    df = typed(raw, spec)
     if gate_first:
-        return _derived(one_row(expect_all_or_drop(df, spec.rules)), spec)
+        return derived(winners(expect_all_or_drop(df, spec.rules), spec), spec)
     if not gate or not spec.rules:
-        return _derived(one_row(df), spec)
+        return derived(winners(df, spec), spec)
     if spec.derived is not None:
         # the rules as one predicate: it reads more than the key, so Catalyst keeps it above the window
-        return _derived(expect_all_or_drop(one_row(df), spec.rules, split=False), spec)
+        return derived(expect_all_or_drop(winners(df, spec), spec.rules, split=False), spec)
     # Rules are evaluated once, inside the projection above, and applied to the
     # dedup survivors. (A plain filter after the window would be pushed by
     # Catalyst below the window for its key-only rules, re-deriving the cleaned
     # keys from raw columns a second time just to filter.)
     marked = df.withColumn("_pass", all_rules_pass(spec.rules))
-    return one_row(marked).where(F.col("_pass")).drop("_pass")
-
-
-def _derived(rows: DataFrame, spec: TableSpec) -> DataFrame:
-    """Adds the columns that the key decides: made for the survivors only, so they are neither shuffled nor sorted."""
-    if spec.derived is None:
-        return rows
-    return rows.select(*[e.alias(n) for n, e in spec.derived({c: F.col(f"`{c}`") for c in rows.columns}).items()])
+    return winners(marked, spec).where(F.col("_pass")).drop("_pass")
 
 
 RAW_BUILDERS = {

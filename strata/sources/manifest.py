@@ -2,18 +2,21 @@
 
 The landing process is expressed as DataFrame jobs: a listing is parsed on the
 executors, the manifest is a table joined against it, digests are computed
-JVM-side. Nothing is collected to the driver.
+JVM-side. Nothing is collected to the driver but the numbers of touched buckets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.files import DEFAULT_BASE_URL, LISTING_ENTRY_PATTERN, classify, strip_ws
 from ..operators.dedup import deduplicate
 from ..operators.joins import sized_broadcast
+from ..session import scratch_path
+from .buckets import BucketedTable, one_file_a_bucket
 
 
 def parse_listing(df: DataFrame, html_col: str = "html", keep: Sequence[str] = (),
@@ -68,6 +71,13 @@ def manifest_pending(entries: DataFrame, manifest: DataFrame) -> DataFrame:
 LISTED_AT = "M/d/yyyy h:mm a"
 
 
+def latest_records(records: DataFrame) -> DataFrame:
+    """One record per url, the latest point in time first, text only among equals."""
+    return deduplicate(records.select("url", "last_modified"), ["url"],
+                       order_by=[F.try_to_timestamp("last_modified", F.lit(LISTED_AT)).desc_nulls_last(),
+                                 F.col("last_modified").desc_nulls_last()])
+
+
 def manifest_upsert(manifest: DataFrame, records: DataFrame) -> DataFrame:
     """New (url, last_modified) records overwrite the stored ones per url.
 
@@ -76,14 +86,37 @@ def manifest_upsert(manifest: DataFrame, records: DataFrame) -> DataFrame:
     a left-anti join against them — with the usual small batch of records
     broadcast, the large manifest is never shuffled.
     """
-    new = deduplicate(records.select("url", "last_modified"), ["url"],
-                      order_by=[F.try_to_timestamp("last_modified", F.lit(LISTED_AT)).desc_nulls_last(),
-                                F.col("last_modified").desc_nulls_last()])
+    new = latest_records(records)
     kept = manifest.select("url", "last_modified").join(
         sized_broadcast(new.select(F.col("url").alias("_u"))), F.col("url") == F.col("_u"), "left_anti")
     return kept.unionByName(new)
 
 
+MANIFEST_SCHEMA = "url string, last_modified string"
+
+
+def kept_manifest(spark: SparkSession, root: str, buckets: int = 64) -> BucketedTable:
+    """A manifest kept in buckets by url, for ``upsert_in_place``."""
+    return BucketedTable(spark, root, ("url",), StructType.fromDDL(MANIFEST_SCHEMA), buckets)
+
+
+def upsert_in_place(kept: BucketedTable, records: DataFrame, batch: int) -> bool:
+    """``manifest_upsert`` of the buckets that ``records`` touch; files of the others stay as they are.
+
+    False if the batch was applied before. A bucket's rows and its new records
+    meet in one task, which also writes it.
+    """
+    if batch <= kept.last():
+        return False
+    path = scratch_path(kept.spark, "manifest-records")
+    kept.with_bucket(latest_records(records)).write.parquet(path)
+    new = kept.spark.read.parquet(path)
+    touched = kept.touched(new)
+    old = kept.read(touched).join(new.select(F.col("bucket").alias("_b"), F.col("url").alias("_u")),
+                                  (F.col("bucket") == F.col("_b")) & F.col("url").eqNullSafe(F.col("_u")), "left_anti")
+    return kept.replace(one_file_a_bucket(old.unionByName(new)), touched, batch)
+
+
 def content_changed(content: DataFrame, previous: DataFrame, key: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """Rows whose SHA-256 differs from the previously stored digest (or that
