@@ -9,10 +9,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strata.llm import decontam, simhash, spm, substring, toxicity
-from strata.llm.common import checked, table, written
+from strata.llm.common import table, written
 from strata.llm.queries import toxicity_model
 
 #: Score from which a document counts as toxic.
@@ -20,11 +19,8 @@ TOXIC = 0.5
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below TOXIC; those whose id is null can't be named and are kept."""
-    found = toxicity.scored(docs, toxicity_model(spark, sf_dir, docs))
-    gone = written(found.where(F.col("score") >= TOXIC).select(F.col("doc_id").alias("__toxic"))
-                   .where("__toxic IS NOT NULL").distinct(), "toxic")
-    return docs.join(checked(gone), docs["doc_id"] == F.col("__toxic"), "left_anti")
+    """Documents whose own text scores below TOXIC."""
+    return toxicity.without_toxic(docs, toxicity_model(spark, sf_dir, docs), TOXIC)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
