@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 from tokenizers import Tokenizer
 
-from .common import Memo, mapped, shared_folder, slices, written
+from .common import held, mapped, Memo, shared_folder, slices, written
 
 MAGIC = b"TOKBITS1"
 #: Ids in a block.
@@ -184,15 +184,10 @@ class Words:
         return out
 
 
-_ENCODERS: dict[str, Memo] = {}
-
-
 def encoder(path: str) -> Memo:
     """A worker's tokenizer with its memory of words."""
-    if path not in _ENCODERS:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are the parallelism
-        _ENCODERS[path] = Memo(Words(Tokenizer.from_file(path)), limit=500_000)
-    return _ENCODERS[path]
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are the parallelism
+    return held(("bitpack", path), lambda: Memo(Words(Tokenizer.from_file(path)), limit=500_000))
 
 
 def pieces(text: str) -> list[str]:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Hashable, Iterator
 from itertools import chain
 from pathlib import Path
 
@@ -38,10 +40,42 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+_HELD: dict = {}
+
+
+def release() -> None:
+    """Gives memory that nothing uses any more back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def held(token: Hashable, build: Callable[[], object]) -> object:
+    """What ``build`` makes, remembered by a worker until it is asked for under another token.
+
+    A worker serves many tasks and many operators in turn; it remembers for one
+    of them at a time, so what an operator learned is given back when the next begins.
+    """
+    if _HELD.get("token") != token:
+        _HELD.clear()
+        gc.collect()
+        release()
+        _HELD["value"] = build()
+        _HELD["token"] = token
+    return _HELD["value"]
+
+
 def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with this package importable on the executors."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return df.mapInArrow(task, schema)
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
@@ -112,16 +146,25 @@ class Memo:
 BROADCAST_ROWS = 2_000_000
 
 
-def checked(side: DataFrame) -> DataFrame:
-    """A written side of a join, broadcast if it has BROADCAST_ROWS rows at most; beyond that the join shuffles."""
-    return F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
+def checked(side: DataFrame, lists: str | None = None) -> DataFrame:
+    """A written side of a join, broadcast if it has BROADCAST_ROWS rows at most; beyond that the join shuffles.
+
+    ``lists`` names an array column whose entries count like rows.
+    """
+    size = F.count("*") + (F.sum(F.size(lists)) if lists else F.lit(0))
+    return F.broadcast(side) if (side.agg(size).first()[0] or 0) <= BROADCAST_ROWS else side
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
-    """The batches cut into runs of few rows, so Python holds few texts at a time."""
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches cut to at most ``rows`` rows and, but for a longer single row, ``size`` bytes, so Python holds few texts at a time."""
     for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+        at = 0
+        while at < batch.num_rows:
+            take = min(rows, batch.num_rows - at)
+            while take > 1 and batch.slice(at, take).nbytes > size:
+                take = (take + 1) // 2
+            yield batch.slice(at, take)
+            at += take
 
 
 def remainder(id_col: Column, divisor: int) -> Column:

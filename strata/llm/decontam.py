@@ -9,10 +9,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checked, mapped, slices, written
+from .common import held, mapped, slices, written
 
 #: BM25 constants, pieces of a block, and items of one index (what an executor holds).
 K1, B = 1.2, 0.75
@@ -219,7 +220,6 @@ class Searcher:
 
 
 #: By a token of the driver's: an address may serve another index once its own is freed.
-_SEARCHERS: dict[str, Searcher] = {}
 LEAK = "doc_id long, item_id long, passage long, score double, question_overlap double, answer_overlap double"
 
 
@@ -259,40 +259,21 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     id are not; repeated documents are each returned, repeated items (same id)
     count as one; without documents or items the result is empty.
     """
-    answer = F.col(answer_col).cast("string") if answer_col else F.lit(None).cast("string")
-    picked = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(question_col).cast("string").alias("question"),
-                          answer.alias("answer")).where("item_id IS NOT NULL").dropDuplicates(["item_id"])
-    cut = written(pieces_of(picked).where(F.size("question") + F.size("answer") > 0), "test-items")
-    each = cut.select(F.explode("pieces").alias("words"))
-    total, mean = each.agg(F.count("*"), F.avg(F.size("words"))).first()
-    n_items = cut.count()
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    if not n_items:
-        return docs.sparkSession.createDataFrame([], LEAK)
-    df = each.select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word").agg(F.count("*").alias("df"))
-    shards = -(-n_items // SHARD_ITEMS)
-    found = None
-    for shard in range(shards):
-        own = cut.where(F.pmod(F.xxhash64("item_id"), F.lit(shards)) == shard)
-        part = searched(texts, own, df, total, mean)
-        found = part if found is None else found.unionByName(part)
+
+    found = docs.sparkSession.createDataFrame([], LEAK)
+    for number, own in enumerate(shards(items, item_col, question_col, answer_col)):
+        part = searched(texts, *own)
+        found = found.unionByName(part) if number else part
     return found
 
 
 def searched(texts: DataFrame, own: DataFrame, df: DataFrame, total: int, mean: float) -> DataFrame:
     """Leaks of one index's items."""
-    terms = own.select(F.explode(F.flatten("pieces")).alias("word")).distinct()
-    counts = {r.word: r.df for r in df.join(terms, "word", "left_semi").collect()}  # words of SHARD_ITEMS items
-    rows = sorted(own.collect(), key=lambda r: r.item_id)
-    items = {r.item_id: (list(r.question), list(r.answer), r.given) for r in rows}
-    index = Index([(r.item_id, list(p)) for r in rows for p in r.pieces], counts, total, mean)
-    shared, token = texts.sparkSession.sparkContext.broadcast((index, items)), uuid.uuid4().hex
+    shared, token = shared_index(own, df, total, mean)
 
     def run(batches: Iterator[pa.RecordBatch]):
-        searcher = _SEARCHERS.get(token)
-        if searcher is None:
-            _SEARCHERS.clear()
-            searcher = _SEARCHERS[token] = Searcher(*shared.value)
+        searcher = held(("decontam", token), lambda: Searcher(*shared.value))
         for batch in slices(batches):
             out = [(d, *leak) for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
                    for leak in searcher.leaks(t)]
@@ -304,8 +285,56 @@ def searched(texts: DataFrame, own: DataFrame, df: DataFrame, total: int, mean:
     return mapped(texts, run, LEAK)
 
 
-def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **columns) -> DataFrame:
-    """``docs`` without the documents that leak a test item; rows with a null id can't be named and stay."""
-    found = written(leaks(docs, items, id_col=id_col, **columns).select(F.col("doc_id").alias("__leaks"))
-                    .where("__leaks IS NOT NULL").distinct(), "leaks")
-    return docs.join(checked(found), docs[id_col] == F.col("__leaks"), "left_anti")
+def shared_index(own: DataFrame, df: DataFrame, total: int, mean: float) -> tuple[Broadcast, str]:
+    """One index of SHARD_ITEMS items at most as a broadcast, and a token that names it."""
+    terms = own.select(F.explode(F.flatten("pieces")).alias("word")).distinct()
+    counts = {r.word: r.df for r in df.join(terms, "word", "left_semi").collect()}  # words of SHARD_ITEMS items
+    rows = sorted(own.collect(), key=lambda r: r.item_id)
+    items = {r.item_id: (list(r.question), list(r.answer), r.given) for r in rows}
+    index = Index([(r.item_id, list(p)) for r in rows for p in r.pieces], counts, total, mean)
+    return own.sparkSession.sparkContext.broadcast((index, items)), uuid.uuid4().hex
+
+
+def shards(items: DataFrame, item_col: str = "item_id", question_col: str = "text",
+           answer_col: str | None = None) -> Iterator[tuple[DataFrame, DataFrame, int, float]]:
+    """Test items in shards of about SHARD_ITEMS, each with the document frequencies, number and mean length of all pieces.
+
+    Of items that repeat an id, the one with the smallest (question, answer) counts, nulls last.
+    """
+    answer = F.col(answer_col).cast("string") if answer_col else F.lit(None).cast("string")
+    both = F.struct(F.col(question_col).cast("string").alias("question"), answer.alias("answer"))
+    picked = (items.select(F.col(item_col).cast("long").alias("item_id"), both.alias("item")).where("item_id IS NOT NULL")
+              .groupBy("item_id").agg(F.min_by("item", F.struct(
+                  F.col("item.question").isNull(), "item.question", F.col("item.answer").isNull(), "item.answer")).alias("item"))
+              .select("item_id", "item.*"))
+    cut = written(pieces_of(picked).where(F.size("question") + F.size("answer") > 0), "test-items")
+    each = cut.select(F.explode("pieces").alias("words"))
+    total, mean = each.agg(F.count("*"), F.avg(F.size("words"))).first()
+    n_items = cut.count()
+    df = each.select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word").agg(F.count("*").alias("df"))
+    count = -(-n_items // SHARD_ITEMS)
+    for shard in range(count):
+        yield cut.where(F.pmod(F.xxhash64("item_id"), F.lit(count)) == shard), df, total, mean
+
+
+def without_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                  question_col: str = "text", answer_col: str | None = None) -> DataFrame:
+    """``docs`` without the rows whose own text leaks a test item, as ``leaks`` finds it.
+
+    Decided row by row where the rows lie: ids may be null or repeat, columns
+    may have any names, nothing is joined or shuffled. A row is searched in one
+    index after the other until it leaks.
+    """
+    at = docs.columns.index(text_col)
+
+    def run_of(shared: Broadcast, token: str):
+        def run(batches: Iterator[pa.RecordBatch]):
+            searcher = held(("decontam", token), lambda: Searcher(*shared.value))
+            for batch in slices(batches):
+                clean = [next(iter(searcher.leaks(t)), None) is None for t in batch.column(at).to_pylist()]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+        return run
+
+    for own in shards(items, item_col, question_col, answer_col):
+        docs = mapped(docs, run_of(*shared_index(*own)), docs.schema)
+    return docs

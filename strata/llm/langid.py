@@ -12,7 +12,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _Index, mapped, slices, written
+from .common import held, _Index, mapped, slices, written
 
 #: Characters of a gram: each is predicted from the three before it.
 ORDER = 4
@@ -309,9 +309,6 @@ def split(spark: SparkSession, all_grams: DataFrame, langs: list[str], parts: in
     return Parts(langs, starts, models)
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
 def predict(docs: DataFrame, model: Model | Parts, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, lang_pred, score, cross_entropy)`` of every row.
 
@@ -325,10 +322,7 @@ def predict(docs: DataFrame, model: Model | Parts, id_col: str = "doc_id", text_
     learned = Parts(model.langs, [0], [docs.sparkSession.sparkContext.broadcast(model)]) if isinstance(model, Model) else model
 
     def run(batches: Iterator[pa.RecordBatch]):
-        scorer = _SCORERS.get(learned.token)
-        if scorer is None:
-            _SCORERS.clear()
-            scorer = _SCORERS[learned.token] = Scorer(learned)
+        scorer = held(("langid", learned.token), lambda: Scorer(learned))
         names = np.array([*learned.langs, UNDETERMINED], object)
         for batch, totals in scorer.scored(batches, HELD_WORDS if len(learned.models) > 1 else 1):
             size = totals[:, -1]

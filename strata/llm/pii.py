@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped
+from .common import mapped, slices
 
 #: Base kinds in the order of the digest, then the kinds that the operator adds.
 BASE = ("email", "ip", "card", "phone")
@@ -204,18 +204,6 @@ def spans(text: str) -> list[Span]:
     return sorted(out, key=lambda s: (place[s.kind], s.start))
 
 
-def small(batches: Iterator[pa.RecordBatch], size: int = 4 << 20, rows: int = 512) -> Iterator[pa.RecordBatch]:
-    """The batches cut to at most ``rows`` rows and, but for a longer single text, ``size`` bytes."""
-    for batch in batches:
-        at = 0
-        while at < batch.num_rows:
-            take = min(rows, batch.num_rows - at)
-            while take > 1 and batch.slice(at, take).nbytes > size:
-                take //= 2
-            yield batch.slice(at, take)
-            at += take
-
-
 SPANS = "array<struct<kind:string,start:long,stop:long,score:double>>"
 
 
@@ -230,7 +218,7 @@ def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     layout = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int64()), ("score", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]):
-        for batch in small(batches):
+        for batch in slices(batches):
             lists = [[tuple(s) for s in spans(t)] if t else [] for t in batch.column(1).to_pylist()]
             rows = [[dict(zip(("kind", "start", "stop", "score"), s)) for s in spans_] for spans_ in lists]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, layout)], ["doc_id", "spans"])
@@ -275,7 +263,7 @@ def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
         return "".join(out) + text[last:]
 
     def run(batches: Iterator[pa.RecordBatch]):
-        for batch in small(batches):
+        for batch in slices(batches):
             texts = pa.array([clean(t) for t in batch.column(at).to_pylist()], batch.schema.field(at).type)
             yield batch.set_column(at, batch.schema.field(at), texts)
 

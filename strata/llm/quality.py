@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _Index, mapped, slices
+from .common import held, _Index, mapped, slices
 
 #: Octet classes of the character statistics.
 LOWER, UPPER, DIGIT, SPACE, LINE, STOP, MARK, WIDE = range(8)
@@ -74,16 +74,12 @@ class Statistics:
             root(total(traits[:, 1]) / n), root(total(traits[:, 2]) / n), line_share))
 
 
-_STATISTICS: list[Statistics] = []
-
-
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, x)``: transformed statistics of every whole text."""
     def run(batches: Iterator[pa.RecordBatch]):
-        if not _STATISTICS:
-            _STATISTICS.append(Statistics())
+        tool = held("quality", Statistics)
         for batch in slices(batches):
-            x = _STATISTICS[0](batch.column(1).to_pylist())
+            x = tool(batch.column(1).to_pylist())
             values = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), len(FEATURES)).cast(pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), values], ["doc_id", "x"])
 

@@ -14,7 +14,7 @@ from sentencepiece import SentencePieceProcessor
 from sentencepiece import sentencepiece_model_pb2 as proto
 from tokenizers import Tokenizer, decoders, models, normalizers
 
-from .common import Memo, mapped, slices
+from .common import held, mapped, Memo, slices
 
 SPACE = "▁"
 #: Piece types and model types of the protobuf (fixed values of the format).
@@ -92,7 +92,7 @@ class Codec:
                        and not self.model.trainer_spec.treat_whitespace_as_suffix
                        and not any(SPACE in p.piece.lstrip(SPACE) for p in self.model.pieces))
         self.differ: set[str] = set()
-        self.memo = Memo(self._encode)
+        self.memo = Memo(self._encode)  # forgets together with ``differ``, see encode()
         self.octets = [self._octets(p) for p in self.model.pieces]
         width = max(map(len, self.octets), default=1)
         self.lengths = np.array([len(o) for o in self.octets], np.int64)
@@ -112,8 +112,6 @@ class Codec:
         """Ids of new runs (or texts), encoded as a multithreaded batch and compared with the library."""
         mark = " " if self.prefix else ""
         mine = [e.ids for e in self.tokenizer.encode_batch_fast([mark + r for r in runs], add_special_tokens=False)]
-        if len(self.differ) > 100_000:
-            self.differ.clear()
         for run, a, b in zip(runs, mine, self.library.encode(runs, num_threads=1)):
             if a != b and run:  # the library gives an empty text no marker; a run is never a whole empty text
                 self.differ.add(run)
@@ -136,6 +134,9 @@ class Codec:
         """All ids end to end, each text's count, and whether each text's ids are the library's."""
         parts = [self.runs(t or "") for t in texts]
         counts = np.array([len(p) for p in parts], np.int64)
+        if len(self.differ) > 100_000:  # what the memory holds and what of it differs go together
+            self.memo.clear()
+            self.differ.clear()
         ids, sizes = self.memo([r for p in parts for r in p])
         edges = np.concatenate(([0], np.cumsum(sizes)))
         stops = edges[np.cumsum(counts)] if len(counts) else edges[:0]
@@ -161,14 +162,12 @@ class Codec:
         return re.sub(" +", " ", text).strip(" ") if self.squeeze else text
 
 
-_CODECS: dict[str, Codec] = {}
-
-
 def codec(path: str) -> Codec:
-    if path not in _CODECS:
+    def load() -> Codec:
         with open(path, "rb") as source:
-            _CODECS[path] = Codec(source.read())
-    return _CODECS[path]
+            return Codec(source.read())
+
+    return held(("sentencepiece", path), load)
 
 
 def encoded(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

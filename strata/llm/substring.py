@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import _Index, checked, components, mapped, slices, written
+from .common import _Index, checked, components, held, mapped, slices, written
 
 #: A paragraph ends where a word pair's hash is the least of this many words to either side, or after MAX_WORDS.
 RADIUS = 5
@@ -123,13 +123,8 @@ class Cutter:
         return out
 
 
-_CUTTERS: list[Cutter] = []
-
-
 def cutter() -> Cutter:
-    if not _CUTTERS:
-        _CUTTERS.append(Cutter())
-    return _CUTTERS[0]
+    return held("substring", Cutter)
 
 
 def counted(texts: DataFrame) -> DataFrame:
@@ -142,43 +137,44 @@ def counted(texts: DataFrame) -> DataFrame:
                                           ["hash", "n", "keys"])
 
     def run(batches: Iterator[pa.RecordBatch]):
-        tool, hashes, keys, held = cutter(), [], [], 0
+        tool, hashes, keys, count = cutter(), [], [], 0
         for batch in slices(batches):
             h, counts = tool.words(batch.column(1).to_pylist())
             at, _ = tool.starts(h, counts)
             if len(at):
                 hashes.append(tool.whole(h, at))
                 keys.append(tool.keys(h, at))
-                held += len(at)
-            if held > HELD:
+                count += len(at)
+            if count > HELD:
                 yield flush(hashes, keys)
-                hashes, keys, held = [], [], 0
-        if held:
+                hashes, keys, count = [], [], 0
+        if count:
             yield flush(hashes, keys)
 
     return mapped(texts, run, "hash long, n long, keys array<long>")
 
 
 def paragraphs(texts: DataFrame) -> DataFrame:
-    """``(doc_id, idx, n_words, hash)`` of every paragraph."""
+    """``(doc_id, sig, idx, n_words, hash)`` of every paragraph of ``texts(doc_id, sig, text)``."""
     def run(batches: Iterator[pa.RecordBatch]):
         tool = cutter()
         for batch in slices(batches):
-            h, counts = tool.words(batch.column(1).to_pylist())
+            h, counts = tool.words(batch.column(2).to_pylist())
             at, text = tool.starts(h, counts)
             first = np.searchsorted(text, np.arange(len(counts)))
             sizes = np.diff(np.append(at, len(h)))
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids, sigs = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[text], pa.int64()), pa.array(np.arange(len(at)) - first[text], pa.int32()),
+                [pa.array(ids[text], pa.int64()), pa.array(sigs[text], pa.int64()),
+                 pa.array(np.arange(len(at)) - first[text], pa.int32()),
                  pa.array(sizes, pa.int32()), pa.array(tool.whole(h, at).view(np.int64))],
-                ["doc_id", "idx", "n_words", "hash"])
+                ["doc_id", "sig", "idx", "n_words", "hash"])
 
-    return mapped(texts, run, "doc_id long, idx int, n_words int, hash long")
+    return mapped(texts, run, "doc_id long, sig long, idx int, n_words int, hash long")
 
 
 def looked_up(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``(hash, shingles)`` of the wanted paragraphs ``(doc_id, idx, hash)``, cut from their texts again."""
+    """``(hash, shingles)`` of the wanted paragraphs ``(doc_id, sig, idx, hash)``, cut from their texts again."""
     def run(batches: Iterator[pa.RecordBatch]):
         tool = cutter()
         for batch in slices(batches, 64):
@@ -197,74 +193,109 @@ def looked_up(texts: DataFrame, wanted: DataFrame) -> DataFrame:
                     sets.append(np.unique(own).view(np.int64).tolist())
             yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["hash", "shingles"])
 
-    by_doc = written(wanted.groupBy(F.col("doc_id").alias("asked_id")).agg(
+    by_doc = written(wanted.groupBy(F.col("doc_id").alias("asked_id"), F.col("sig").alias("asked_sig")).agg(
         F.collect_list(F.struct("idx", "hash")).alias("asked")), "paragraphs-asked")  # at most a text's paragraphs
-    found = texts.join(checked(by_doc), F.col("doc_id") == F.col("asked_id"))
+    found = texts.join(checked(by_doc, "asked"), (F.col("doc_id") == F.col("asked_id")) & (F.col("sig") == F.col("asked_sig")))
     return mapped(found.select("doc_id", "text", "asked"), run, "hash long, shingles array<long>").dropDuplicates(["hash"])
 
 
+def prefixes(shingles: str = "shingles", head_set: str = "head_set") -> str:
+    """``(token, own, other)`` by which a set meets every set of a bucket with SIMILARITY or more, as SQL.
+
+    Sets of a and b shingles need o = ceil((a + b) * S / (1 + S)) in common,
+    so in any order of shingles that a bucket agrees on the first a - o + 1
+    and the first b - o + 1 share one. Shingles that the bucket's head lacks
+    come first: what a crowded bucket has in common is hardly ever a token.
+    """
+    share = SIMILARITY / (1 + SIMILARITY)
+    ordered = (f"concat(array_sort(array_except({shingles}, {head_set})), array_sort(array_intersect({shingles}, {head_set})))")
+    own = f"size({shingles})"
+    sizes = f"sequence(int(ceil({SIMILARITY} * {own} - 1e-9)), int(floor({own} / {SIMILARITY} + 1e-9)))"
+    first = f"slice({ordered}, 1, greatest(0, {own} - int(ceil(({own} + other) * {share} - 1e-9)) + 1))"
+    return f"flatten(transform({sizes}, other -> transform({first}, token -> struct(token AS token, {own} AS own, other AS other))))"
+
+
+#: Members up to which all pairs of a bucket's far members are compared.
+SMALL_BUCKET = 32
+
+
 def near_links(buckets: DataFrame, sets: DataFrame) -> DataFrame:
     """Edges between different paragraphs of a bucket whose Jaccard similarity is SIMILARITY or more.
 
     All are compared with the bucket's head, the paragraph found most often;
     of the rest only pairs not both linked to the head already are compared,
-    inside the join.
+    inside the join: all of a bucket of SMALL_BUCKET members or fewer, and in
+    a larger one those that share a prefix token, which every similar pair
+    does. Heads come from an aggregate and a join, so a large bucket is not
+    gathered in one task.
     """
-    whole = Window.partitionBy("key").orderBy(F.desc("n"), "hash").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing)
     both = "size(array_intersect({0}, {1}))"
     similar = f"{both} >= {SIMILARITY} * (size({{0}}) + size({{1}}) - {both})"
-    rows = written(buckets.join(sets, "hash").withColumn("head", F.first("hash").over(whole))
-                   .withColumn("head_set", F.first("shingles").over(whole))
-                   .withColumn("near", F.expr(similar.format("shingles", "head_set"))).drop("head_set"), "paragraph-buckets")
+    members = written(buckets.join(sets, "hash"), "paragraph-buckets")
+    heads = members.groupBy("key").agg(F.max_by(F.struct("hash", "shingles"), F.struct("n", -F.col("hash"))).alias("head"),
+                                       F.count("*").alias("members"))
+    rows = written(members.join(heads, "key").select(
+        "key", "hash", "shingles", F.col("head.hash").alias("head"), F.col("head.shingles").alias("head_set"),
+        (F.col("members") > SMALL_BUCKET).alias("large")).withColumn("near", F.expr(similar.format("shingles", "head_set"))), "paragraph-heads")
     stars = rows.where("near AND hash <> head").select(F.col("hash").alias("a"), F.col("head").alias("b"))
-    left = rows.select("key", F.col("hash").alias("a"), F.col("shingles").alias("set_a"), F.col("near").alias("near_a"))
-    far = rows.where("NOT near").select(F.col("key").alias("far_key"), F.col("hash").alias("b"), F.col("shingles").alias("set_b"))
-    rest = left.join(far, F.expr(
-        "key = far_key AND a <> b AND (near_a OR a < b) "
-        f"AND size(set_a) >= {SIMILARITY} * size(set_b) AND size(set_b) >= {SIMILARITY} * size(set_a) AND "
-        + similar.format("set_a", "set_b")))
-    return stars.union(rest.select("a", "b")).distinct()
+
+    def pairs(left: DataFrame, far: DataFrame, on: str) -> DataFrame:
+        left = left.withColumnsRenamed({"hash": "a", "shingles": "set_a", "near": "near_a"})
+        far = far.where("NOT near").withColumnsRenamed({c: f"far_{c}" for c in far.columns} | {"hash": "b", "shingles": "set_b"})
+        return left.join(far, F.expr(
+            f"key = far_key AND {on} AND a <> b AND (near_a OR a < b) "
+            f"AND size(set_a) >= {SIMILARITY} * size(set_b) AND size(set_b) >= {SIMILARITY} * size(set_a) AND "
+            + similar.format("set_a", "set_b"))).select("a", "b")
+
+    plain = ("key", "hash", "shingles", "near")
+    small = rows.where("NOT large").select(*plain)
+    large = rows.where("large").select(*plain, F.explode(F.expr(prefixes())).alias("p")).select(*plain, "p.*")
+    rest = pairs(small, small, "true").union(pairs(large, large, "token = far_token AND own = far_other AND other = far_own"))
+    return stars.union(rest).distinct()
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Passages that repeat an earlier one: ``(doc_id, first, last, n_words, class_id, kept_doc_id, kept_first)``.
+    """Passages that repeat an earlier one: ``(doc_id, first, last, n_words, class_id, kept_doc_id, kept_first, sig)``.
 
     Texts are cut into paragraphs; those that share a band are compared
     (equal hash of all words, or Jaccard similarity of their shingles), linked
     ones form classes, and in each class the paragraph with the smallest
-    (doc_id, place) is kept. A run of other paragraphs, MIN_WORDS words or
-    more, is a repeated passage; ``kept_*`` name where its first paragraph is
-    kept. Null and empty texts have no paragraphs; rows with a null id take no
-    part; rows that repeat an id count as one document; an empty table gives
-    an empty result.
+    (doc_id, text hash, place) is kept. A run of other paragraphs, MIN_WORDS
+    words or more, is a repeated passage; ``kept_*`` name where its first
+    paragraph is kept. Null and empty texts have no paragraphs; rows with a
+    null id take no part; rows that repeat an id and its text count as one
+    document, other texts under the same id as documents of their own, which
+    ``sig``, a hash of the text, tells apart; an empty table gives an empty
+    result.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where(
+    text = F.col(text_col).cast("string")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("sig"), text.alias("text")).where(
         "doc_id IS NOT NULL")
     # the two random columns side by side and no band column: that is most of what is shuffled
-    keyed = counted(texts).select(F.explode("keys").alias("key"), "hash", "n")
+    keyed = counted(texts.select("doc_id", "text")).select(F.explode("keys").alias("key"), "hash", "n")
     rows = keyed.repartition("key").groupBy("key", "hash").agg(F.sum("n").alias("n"))
     shared = written(rows.withColumn("texts", F.count("*").over(Window.partitionBy("key")))
                      .where(f"texts > 1 OR (n > 1 AND key & {BAND_BITS} = 0)"), "paragraph-keys")
     wanted = checked(written(shared.select("hash").distinct(), "paragraph-hashes"))
     found = written(paragraphs(texts).join(wanted, "hash", "left_semi"), "paragraphs")
     buckets = shared.where("texts > 1").select("key", "hash", "n")
-    near = buckets.select("hash").distinct()
-    asked = (found.join(near, "hash", "left_semi").groupBy("hash").agg(F.min(F.struct("doc_id", "idx")).alias("at"))
-             .select("at.doc_id", "at.idx", "hash"))
+    near = checked(written(buckets.select("hash").distinct(), "paragraph-near"))
+    asked = (found.join(near, "hash", "left_semi").groupBy("hash").agg(F.min(F.struct("doc_id", "sig", "idx")).alias("at"))
+             .select("at.doc_id", "at.sig", "at.idx", "hash"))
     labels = components(near_links(buckets, looked_up(texts, asked)), "paragraph-classes")
-    classed = (found.join(labels.withColumnRenamed("node", "hash"), "hash", "left")
-               .withColumn("class_id", F.coalesce("label", "hash")))
-    kept = classed.groupBy("class_id").agg(F.min(F.struct("doc_id", "idx")).alias("kept"), F.count("*").alias("times")).where("times > 1")
-    gone = (classed.join(kept, "class_id").where("doc_id <> kept.doc_id OR idx <> kept.idx")
-            .select("doc_id", "idx", "n_words", "class_id", "kept")
-            .repartition("doc_id").dropDuplicates(["doc_id", "idx"]))  # one exchange for this and the two groupings below
-    runs = gone.withColumn("run", F.col("idx") - F.row_number().over(Window.partitionBy("doc_id").orderBy("idx")))
+    classes = checked(written(labels.withColumnRenamed("node", "hash"), "paragraph-labels"))
+    classed = found.join(classes, "hash", "left").withColumn("class_id", F.coalesce("label", "hash"))
+    kept = classed.groupBy("class_id").agg(F.min(F.struct("doc_id", "sig", "idx")).alias("kept"), F.count("*").alias("times")).where("times > 1")
+    kept = checked(written(kept.select("class_id", "kept"), "paragraphs-kept"))
+    gone = (classed.join(kept, "class_id").where("doc_id <> kept.doc_id OR sig <> kept.sig OR idx <> kept.idx")
+            .select("doc_id", "sig", "idx", "n_words", "class_id", "kept")
+            .repartition("doc_id", "sig").dropDuplicates(["doc_id", "sig", "idx"]))  # one exchange for this and the two groupings below
+    runs = gone.withColumn("run", F.col("idx") - F.row_number().over(Window.partitionBy("doc_id", "sig").orderBy("idx")))
     first = F.min(F.struct("idx", "class_id", "kept"))
-    return (runs.groupBy("doc_id", "run").agg(first.alias("f"), F.max("idx").alias("last"), F.sum("n_words").alias("n_words"))
+    return (runs.groupBy("doc_id", "sig", "run").agg(first.alias("f"), F.max("idx").alias("last"), F.sum("n_words").alias("n_words"))
             .where(F.col("n_words") >= MIN_WORDS)
             .select("doc_id", F.col("f.idx").alias("first"), "last", "n_words", F.col("f.class_id").alias("class_id"),
-                    F.col("f.kept.doc_id").alias("kept_doc_id"), F.col("f.kept.idx").alias("kept_first")))
+                    F.col("f.kept.doc_id").alias("kept_doc_id"), F.col("f.kept.idx").alias("kept_first"), "sig"))
 
 
 def cut_out(texts: list[str], spans: list[list[dict]]) -> list[str]:
@@ -291,10 +322,12 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``docs`` with repeated passages cut out of the texts; ``n_chars``, where there, follows.
 
     A document nothing is left of goes; all others keep their other columns.
+    Texts are told apart as in ``repeats``, so rows that share an id are each
+    cut where their own text repeats.
     """
-    spans = repeats(docs, id_col, text_col).groupBy(F.col("doc_id").alias("__cut_id")).agg(
+    spans = repeats(docs, id_col, text_col).groupBy(F.col("doc_id").alias("__cut_id"), F.col("sig").alias("__cut_sig")).agg(
         F.collect_list(F.struct("first", "last")).alias("__spans"))  # at most a text's paragraphs
-    spans = checked(written(spans, "passages"))
+    spans = checked(written(spans, "passages"), "__spans")
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in slices(batches, 64):
@@ -304,9 +337,10 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             columns = [pa.array(new, pa.string()) if n == text_col else batch.column(i) for i, n in enumerate(names[:-1])]
             yield pa.RecordBatch.from_arrays(columns, names[:-1])
 
-    edited = docs.join(spans, docs[id_col] == F.col("__cut_id")).drop("__cut_id")
+    same_text = ((docs[id_col].cast("long") == F.col("__cut_id")) & (F.xxhash64(docs[text_col].cast("string")) == F.col("__cut_sig")))
+    edited = docs.join(spans, same_text)
     cut = mapped(edited.select(*docs.columns, "__spans"), run, docs.schema).where(F.trim(F.col(text_col)) != "")
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
-    same = docs.join(spans.select("__cut_id"), docs[id_col] == F.col("__cut_id"), "left_anti")
+    same = docs.join(spans.select("__cut_id", "__cut_sig"), same_text, "left_anti")
     return same.unionByName(cut)

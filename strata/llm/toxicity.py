@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _Index, mapped, slices, written
+from .common import held, _Index, mapped, slices, written
 
 #: Length of the compared subsequences, and the weight of each character they span.
 LENGTH, DECAY = 4, 0.5
@@ -323,10 +323,6 @@ def examples(chosen: DataFrame, model: Model) -> DataFrame:
     return mapped(chosen.select("text", "label"), run, "label int, kernels array<double>")
 
 
-#: By a token of the driver's: an address may serve another model once its own is freed.
-_TESTERS: dict[str, Tester] = {}
-
-
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, score)`` of every row, in 0..1, higher where a text is likelier toxic.
 
@@ -337,10 +333,7 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]):
         learned = shared.value
-        tester = _TESTERS.get(token)
-        if tester is None:
-            _TESTERS.clear()
-            tester = _TESTERS[token] = Tester(learned.landmarks)
+        tester = held(("toxicity", token), lambda: Tester(learned.landmarks))
         for batch in slices(batches):
             owner, kernels = tester.features(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
@@ -348,3 +341,22 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return mapped(picked, run, "doc_id long, score double")
+
+
+def without_toxic(docs: DataFrame, model: Model, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose own text scores ``least`` or more.
+
+    Decided row by row where the rows lie: ids may be null or repeat, columns
+    may have any names, nothing is joined or shuffled.
+    """
+    shared, token = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex  # LANDMARKS words
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        learned = shared.value
+        tester = held(("toxicity", token), lambda: Tester(learned.landmarks))
+        for batch in slices(batches):
+            owner, kernels = tester.features(batch.column(at).to_pylist())
+            yield batch.filter(pa.array(learned.score(owner, kernels, batch.num_rows) < least))
+
+    return mapped(docs, run, docs.schema)

@@ -76,3 +76,36 @@ def test_odd_rows(odd, nothing):
     ids = sorted(str(r.doc_id) for r in after.collect())
     assert ids == sorted(["1", "2", "3", "4", "5", "5", "None", "6", "7"])  # of 8, a copy of 4, nothing is left
     assert substring.without_repeats(nothing).count() == 0
+
+
+def test_texts_that_share_an_id_are_cut_each_by_itself(spark):
+    rng = random.Random(11)
+    long, short, own = prose(rng, 120), prose(rng, 3), prose(rng, 90)
+    rows = [(1, long), (2, long), (2, short), (2, None), (3, own), (3, own + " " + long), (3, own)]
+    after = substring.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    left = sorted((r.doc_id, r.text or "") for r in after)
+    assert (1, long) in left and (2, short) in left and (2, "") in left and (2, long) not in left
+    assert sum(long in t for _, t in left) == 1
+    assert any(own in t for i, t in left if i == 3)
+
+
+def test_crowded_buckets_lose_no_link(spark):
+    """Prefix tokens against all pairs: many sets that share most shingles, few of them similar."""
+    rng = random.Random(5)
+    common = [rng.getrandbits(62) for _ in range(12)]
+    sets = {}
+    for n in range(300):
+        own = set(rng.sample(common, rng.randint(4, 12))) | {rng.getrandbits(62) for _ in range(rng.choice((0, 1, 2, 4)))}
+        sets[n] = sorted(own)
+    frame = spark.createDataFrame(list(sets.items()), "hash long, shingles array<long>")
+    buckets = spark.createDataFrame([(7, n, 5 if n == 0 else 1) for n in sets] + [(8, n, 1) for n in range(20)],
+                                    "key long, hash long, n long")
+    found = substring.near_links(buckets, frame).collect()
+    alike = lambda a, b: len(set(sets[a]) & set(sets[b])) >= 0.8 * len(set(sets[a]) | set(sets[b])) - 1e-12
+    assert all(alike(r.a, r.b) for r in found)
+    head = {n for n in sets if alike(n, 0)}
+    linked = {frozenset((r.a, r.b)) for r in found}
+    for a in sets:
+        for b in range(a):
+            if alike(a, b) and not (a in head and b in head):
+                assert frozenset((a, b)) in linked, (a, b)
