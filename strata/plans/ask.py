@@ -1,7 +1,7 @@
 """Analyst questions over the gold tables (Q1–Q6).
 
-Text filters are case-insensitive substring matches; the defaults are the
-questions' original wording and every one is a parameter.
+Text filters are case-insensitive substring matches, every character taken as
+it is; the defaults are the questions' original wording and every one is a parameter.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def _like(col: str, needle: str):
-    return F.lower(F.col(col)).like(f"%{needle.lower()}%")
+    return F.contains(F.lower(F.col(col)), F.lower(F.lit(needle)))
 
 
 def ask_annual_trend(annual: DataFrame, sector: str = "nonfarm business",

@@ -773,3 +773,16 @@ def layout_zorder_lookup(spark, sf):
     layout.write_z_ordered(_wide(spark, sf), path, LAYOUT_KEYS, files=32)
     return _union([layout.read_where(spark, path, conditions).select(F.lit(name).alias("probe"), "*")
                    for name, conditions in PROBES.items()])
+
+
+# ---- population of several nations (J9) --------------------------------------------------
+NATIONS = ("01000us", "07000us", "13000us", "99000us")
+
+
+@register("q01_population_by_nation", with_ctes(f"""
+SELECT n.nation_id, w.series_id, w.series_label, w.year, w.period, w.value, p.population AS us_population
+FROM wide w CROSS JOIN (SELECT unnest({list(x.upper() for x in NATIONS)}) AS nation_id) n
+LEFT JOIN s_population_by_nation p ON p.nation_id = n.nation_id AND p.year = w.year
+WHERE w.period = 'Q01'""", "wide", "s_population_by_nation"))
+def q01_population_by_nation(spark, sf):
+    return joins.q01_with_population(_wide(spark, sf), _pop_by_nation(spark, sf), nations=[n.upper() for n in NATIONS])
