@@ -67,9 +67,22 @@ def held(token: Hashable, build: Callable[[], object]) -> object:
     return _HELD["value"]
 
 
+#: Spark's setting for the bytes of an Arrow batch, its default, and what batches of texts get where nothing else is set.
+BATCH_SETTING, BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20, 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds Arrow batches by BATCH_BYTES unless the session sets a bound of its own: a batch of long texts
+    is held by the JVM and by the worker, for every task at once."""
+    now = spark.conf.get(BATCH_SETTING, None)
+    if now is not None and now.rstrip("b") == str(BATCH_DEFAULT):
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with this package importable on the executors."""
     ship(df.sparkSession)
+    small_batches(df.sparkSession)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)

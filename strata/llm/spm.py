@@ -181,7 +181,7 @@ def encoded(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
     """
     def run(batches: Iterator[pa.RecordBatch]):
         tool = codec(model_path)
-        for batch in slices(batches, 256):
+        for batch in slices(batches, 256, 512 << 10):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             ids, sizes, same = tool.encode(texts)
             back = tool.decode(ids, sizes)
@@ -199,7 +199,7 @@ def decoded(tokens: DataFrame, model_path: str, id_col: str = "doc_id", ids_col:
     """``(doc_id, text)`` of every row of ids; null ids give an empty text."""
     def run(batches: Iterator[pa.RecordBatch]):
         tool = codec(model_path)
-        for batch in slices(batches, 256):
+        for batch in slices(batches, 256, 512 << 10):
             lists = [np.array(i or [], np.int64) for i in batch.column(1).to_pylist()]
             texts = tool.decode(np.concatenate(lists), np.array([len(i) for i in lists], np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
