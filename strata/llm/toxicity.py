@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +22,8 @@ LENGTH, DECAY = 4, 0.5
 #: Characters of a word that are compared (a word's kernel is the largest of its windows of this length).
 WINDOW = 24
 LANDMARKS = 96
+#: Landmarks expected to be chosen by chance alone.
+CHANCE = 0.05
 STEMS = range(4, 9)
 REMEMBERED = 150_000
 LETTERS = re.compile(r"[\W\d_]+")
@@ -199,7 +204,8 @@ class Model:
             self.map = vectors[:, keep] / np.sqrt(values[keep])
         else:
             self.map = np.zeros((0, 0))
-        self.weights, self.bias, self.scale = np.zeros(self.map.shape[1]), -1.0, 3.0
+        self.weights, self.bias = np.zeros(self.map.shape[1]), -1.0
+        self.scale, self.shift = 3.0, 0.0
 
     def margin(self, kernels: np.ndarray) -> np.ndarray:
         return kernels @ (self.map @ self.weights) + self.bias
@@ -220,6 +226,32 @@ class Model:
                 break
         self.weights, self.bias = w[:-1], w[-1]
 
+    def calibrate(self, kernels: np.ndarray, label: np.ndarray, folds: int = 4, steps: int = 100) -> None:
+        """Platt's sigmoid, fitted to margins of rows that the machine behind each margin has not seen."""
+        weights, bias = self.weights, self.bias
+        fold, margin = np.empty(len(label), np.int64), np.empty(len(label))
+        fold[np.argsort(label, kind="stable")] = np.arange(len(label)) % folds  # both labels in every fold
+        for label_fold in range(folds):
+            own = fold == label_fold
+            if len(np.unique(label[~own])) < 2:
+                return
+            self.learn(kernels[~own], label[~own])
+            margin[own] = self.margin(kernels[own])
+        self.weights, self.bias = weights, bias
+        positive = label > 0
+        target = np.where(positive, (positive.sum() + 1) / (positive.sum() + 2), 1 / ((~positive).sum() + 2))
+        x = np.column_stack((margin, np.ones(len(margin))))
+        w = np.zeros(2)
+        for _ in range(steps):
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            grad = x.T @ (p - target) + 1e-3 * w
+            step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2), grad)
+            w = w - step * min(1.0, 5 / max(np.abs(step).max(), 1e-12))
+            if np.abs(step).max() < 1e-8:
+                break
+        if w[0] > 0:
+            self.scale, self.shift = w
+
     def score(self, owner: np.ndarray, kernels: np.ndarray, texts: int) -> np.ndarray:
         """Of each text, the calibrated margin of its worst sentence; texts that touch no landmark have the bias alone."""
         if not self.landmarks.words:
@@ -227,7 +259,7 @@ class Model:
         best = np.full(texts, self.bias)
         if len(owner):
             np.maximum.at(best, owner, self.margin(kernels))
-        return 1 / (1 + np.exp(np.clip(-self.scale * best, -700, 700)))
+        return 1 / (1 + np.exp(np.clip(-self.scale * best - self.shift, -700, 700)))
 
 
 def sample(labels: DataFrame, rows: int, clean_rows: int) -> DataFrame:
@@ -236,17 +268,23 @@ def sample(labels: DataFrame, rows: int, clean_rows: int) -> DataFrame:
     return least(1, rows).unionByName(least(0, clean_rows))
 
 
+def beginnings(text: str) -> set[str]:
+    """The words of a text and their beginnings, as landmarks may have them."""
+    own = set()
+    for word in {plain(w) for w in sentences(text)[0]}:
+        if LENGTH <= len(word) <= WINDOW:
+            own.update(word[:n + 1] for n in STEMS if n < len(word) - 1)
+            own.add(word)
+    return own
+
+
 def occurrences(texts: DataFrame, known: frozenset[str] | None = None) -> DataFrame:
     """``(stem, n)``: in how many texts a word or word beginning occurs; only the known ones if given."""
     def run(batches: Iterator[pa.RecordBatch]):
         counts: Counter[str] = Counter()
         for batch in slices(batches):
             for text in batch.column(0).to_pylist():
-                own = set()
-                for word in {plain(w) for w in sentences(text)[0]}:
-                    if 5 <= len(word) <= WINDOW:
-                        own.update(word[:n + 1] for n in STEMS if n < len(word) - 1)
-                        own.add(word)
+                own = beginnings(text)
                 counts.update(own if known is None else own & known)
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["stem", "n"])
@@ -254,27 +292,114 @@ def occurrences(texts: DataFrame, known: frozenset[str] | None = None) -> DataFr
     return mapped(texts.select("text"), run, "stem string, n long").groupBy("stem").agg(F.sum("n").alias("n"))
 
 
-def chosen_landmarks(found: list[tuple[str, int, int]], toxic: int, clean: int) -> list[str]:
-    """The words that tell most, no two saying the same: a longer one only if clearly cleaner than its beginning."""
-    def worth(entry: tuple[str, int, int]) -> float:
-        a, b = (entry[1] + 0.5) / (toxic + 1), (entry[2] + 0.5) / (clean + 1)
-        return (a - b) * np.log(a / b) if a > 20 * b else 0.0
+def sketch(text: str, keys: int = 8) -> list[int]:
+    """Min-hashes of a text's three-word shingles: near copies share some of them."""
+    words = text.lower().split()
+    shingles = {zlib.crc32(" ".join(words[i:i + 3]).encode()) for i in range(max(1, len(words) - 2))}
+    own = np.fromiter(shingles, np.uint64, len(shingles))
+    factors = np.arange(1, keys + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
+    return (own[:, None] * factors).min(axis=0).astype(np.int64).tolist()
+
+
+def places(texts: DataFrame, stems: list[str]) -> DataFrame:
+    """``(found, sketch)``: of each text, the numbers of the stems it holds, and its min-hashes."""
+    number = {s: i for i, s in enumerate(stems)}
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in slices(batches):
+            own = batch.column(0).to_pylist()
+            found = [sorted(number[s] for s in beginnings(t) & number.keys()) for t in own]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())),
+                                              pa.array(list(map(sketch, own)), pa.list_(pa.int64()))], ["found", "sketch"])
+
+    return mapped(texts.select("text"), run, "found array<int>, sketch array<long>")
+
+
+def families(sketches: list[list[int]]) -> list[int]:
+    """A number for each text of the bounded sample, the same for texts linked by two equal min-hashes."""
+    parent = list(range(len(sketches)))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = i = parent[parent[i]]
+        return i
 
-    found = sorted(found, key=lambda e: (-worth(e), len(e[0]), e[0]))
-    least = 0.1 * worth(found[0]) if found else 0.0
-    picked: list[str] = []
-    for stem in [e[0] for e in found if worth(e) > 0 and worth(e) >= least]:
-        if len(picked) < LANDMARKS and not any(stem.startswith(p) or p.startswith(stem) for p in picked):
-            picked.append(stem)
+    first: dict[tuple, int] = {}
+    for i, own in enumerate(sketches):
+        for key in combinations(enumerate(own), 2):
+            parent[root(i)] = root(first.setdefault(key, i))
+    return [root(i) for i in range(len(sketches))]
+
+
+def surprise(n, m, toxic: int, clean: int):
+    """Log-likelihood ratio of a stem in ``n`` toxic and ``m`` clean texts against one common share."""
+    def part(k, rows):
+        share = (n + m) / (toxic + clean)
+        return (k * np.log(np.maximum(k, 1e-9) / (rows * np.maximum(share, 1e-12)))
+                + (rows - k) * np.log(np.maximum(rows - k, 1e-9) / (rows * np.maximum(1 - share, 1e-12))))
+
+    return 2 * (part(np.asarray(n, float), toxic) + part(np.asarray(m, float), clean))
+
+
+def telling(n, m, toxic: int, clean: int, stems: int):
+    """Whether a stem is over 20 times as frequent in toxic texts, by more than chance makes of ``stems`` tries.
+
+    Over all tries less than CHANCE stems are expected to pass without telling
+    anything (chi-squared tail of the likelihood ratio).
+    """
+    a, b = (np.asarray(n) + 0.5) / (toxic + 1), (np.asarray(m) + 0.5) / (clean + 1)
+    g = np.maximum(surprise(n, m, toxic, clean), 1e-9)
+    return (a > 20 * b) & (g / 2 + np.log(np.pi * g / 2) / 2 >= np.log(max(stems, 1) / CHANCE))
+
+
+def chosen_landmarks(found: list[tuple[str, int, int]], held: list[list[int]], toxic: int, clean: int, stems: int) -> list[str]:
+    """Stems that cover the toxic texts, greedily.
+
+    ``held`` lists the places in ``found`` of each toxic text's stems. A stem
+    counts the texts that no chosen one covers, so rare insults come before
+    other forms of common ones; it is taken while those texts alone tell. The
+    slots left go to further stems by the texts they tell in all, unless they
+    hold letters of a chosen one. No two of the chosen begin each other; a
+    longer one is taken only where it is cleaner.
+    """
+    order = sorted(range(len(found)), key=lambda i: (len(found[i][0]), found[i][0]))
+    n, m = np.array([found[i][1] for i in order], float), np.array([found[i][2] for i in order], float)
+    place = {old: new for new, old in enumerate(order)}
+    rows = np.repeat(np.arange(len(held)), [len(h) for h in held])
+    cols = np.array([place[i] for h in held for i in h], np.int64)
+    open_rows, free, picked = np.ones(len(held), bool), np.ones(len(order), bool), []
+    covering = True
+    while len(picked) < LANDMARKS and free.any():
+        count = np.bincount(cols[open_rows[rows]], minlength=len(order)).astype(float) if covering else n
+        a, b = (count + 0.5) / (toxic + 1), (m + 0.5) / (clean + 1)
+        worth = np.where(free & (count > 0) & telling(count, m, toxic, clean, stems), (a - b) * np.log(a / b), 0.0)
+        best = int(worth.argmax())
+        if worth[best] <= 0:
+            if not covering:
+                break
+            covering = False
+            # what is left speaks of texts that are covered: keep only stems without a chosen one's letters
+            free &= np.array([not any(shares(found[i][0], p) for p in picked) for i in order], bool)
+            continue
+        stem = found[order[best]][0]
+        picked.append(stem)
+        open_rows[rows[cols == best]] = False
+        free &= np.array([not (s.startswith(stem) or stem.startswith(s)) for s in (found[i][0] for i in order)], bool)
     return picked
 
 
+def shares(a: str, b: str) -> bool:
+    """Whether one holds LENGTH letters in a row of the other: its kernel with it is high already."""
+    a, b = a[1:], b[1:]
+    return a in b or b in a or any(a[i:i + LENGTH] in b for i in range(len(a) - LENGTH + 1))
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label",
         rows: int = 4000, clean_rows: int = 12_000) -> Model:
     """A model from texts and the labels of some (1 toxic, 0 clean; other labels and nulls teach nothing).
 
     Fitted on a bounded sample: at most ``rows`` toxic and ``clean_rows`` clean
-    labels, chosen by id hash, and their texts. Landmarks are the word beginnings that tell the labels apart best.
+    labels, chosen by id hash, and their texts. Landmarks are the word beginnings that cover the toxic texts best.
     Only texts are labelled, so a toxic text's most suspicious sentence and a
     clean text's are the examples, chosen anew by the machine's own margin in
     three rounds. Without examples of both labels every score is the smoothed
@@ -290,19 +415,33 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     prior = (toxic + 1) / (toxic + clean + 2)
     if not toxic or not clean:
         return Model(Landmarks([]), prior)
-    least = max(3, toxic // 100)
-    often = occurrences(chosen.where("label = 1")).where(F.col("n") >= least)
-    often = {r.stem: r.n for r in often.orderBy(F.desc("n"), "stem").limit(200 * LANDMARKS).collect()}
+    first = occurrences(chosen.where("label = 1")).persist(StorageLevel.DISK_ONLY)
+    stems = first.count()
+    # a stem of fewer texts can't tell even where no clean text has it
+    sizes = np.arange(1, toxic + 1)
+    enough = sizes[telling(sizes, 0, toxic, clean, stems)]
+    least = int(enough[0]) if len(enough) else toxic + 1
+    often = {r.stem: r.n for r in first.where(F.col("n") >= least).toLocalIterator()}  # of at most ``rows`` texts
+    first.unpersist()
     rest = {r.stem: r.n for r in occurrences(chosen.where("label = 0"), frozenset(often)).collect()}
-    found = [(stem, n, rest.get(stem, 0)) for stem, n in often.items()]
-    model = Model(Landmarks(chosen_landmarks(found, toxic, clean)), prior)
+    known = sorted(s for s, n in often.items() if telling(n, rest.get(s, 0), toxic, clean, stems))
+    texts_held = places(chosen.where("label = 1"), known).collect() if known else []  # ``rows`` rows at most
+    held_by = defaultdict(set)  # near copies count as one text
+    for family, row in zip(families([r.sketch for r in texts_held]), texts_held):
+        held_by[family].update(row.found)
+    alone = Counter(i for own in held_by.values() for i in own)
+    kinds = len(held_by)
+    found = [(stem, alone[i], rest.get(stem, 0)) for i, stem in enumerate(known)]
+    model = Model(Landmarks(chosen_landmarks(found, list(map(sorted, held_by.values())), kinds, clean, stems)), prior)
     if not model.landmarks.words:
         return model
     model.weights = np.linalg.lstsq(model.map, np.ones(len(model.map)), rcond=None)[0]
     for _ in range(3):
         worst = examples(chosen, model).toArrow()
         kernels = worst.column("kernels").combine_chunks().flatten().to_numpy().reshape(worst.num_rows, -1)
-        model.learn(kernels, worst.column("label").to_numpy())
+        label = worst.column("label").to_numpy()
+        model.learn(kernels, label)
+    model.calibrate(kernels, label)
     return model
 
 

@@ -153,7 +153,8 @@ def test_kernels_of_masked_and_broken_words():
 def test_toxicity_held_out_gaps_and_odd_rows(spark, odd, nothing):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     model = queries.toxicity_model(spark, SF, docs)
-    found = queries.toxicity.scored(docs, model).join(labels, "doc_id").collect()
+    found = queries.toxicity.scored(docs, model).join(labels, "doc_id").where(
+        "crc32(cast(cast(doc_id AS string) AS binary)) % 5 = 0").collect()  # rows whose labels were not learned
     clean = [r.score >= 0.5 for r in found if r.toxic == 0]
     assert np.mean(clean) < 0.03 and np.mean([r.score >= 0.5 for r in found if r.toxic == 1]) > 0.65
     texts = ["You idiot.", "You i.d.i.o.t!", "You idxiot.", "such a i d i o t", "Nothing to see in this plain line."]
@@ -164,3 +165,30 @@ def test_toxicity_held_out_gaps_and_odd_rows(spark, odd, nothing):
     assert toxicity.scored(nothing, model).count() == 0
     empty = toxicity.fit(docs, labels.where("false"), label_col="toxic")
     assert {r.score for r in toxicity.scored(odd, empty).collect()} == {0.5}
+
+
+def test_toxicity_learns_rare_insults_and_ignores_chance(spark):
+    rng = np.random.default_rng(5)
+    vocabulary = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(3, 10))) for _ in range(2000)]
+    insults, share = ["blorgnak", "snivelwit", "crudfaced", "zogmutt", "dreckhole", "fumblewump"], [0.5, 0.25, 0.15, 0.07, 0.02, 0.01]
+    rows = []
+    for i in range(4000):
+        words = rng.choice(vocabulary, 40).tolist()
+        if i % 4 == 0:
+            words[rng.integers(40)] = rng.choice(insults, p=share)
+        rows.append((i, int(i % 4 == 0), " ".join(map(str, words))))
+    texts = spark.createDataFrame(rows, "doc_id long, label int, text string")
+    model = toxicity.fit(texts, texts)
+    assert sorted(w[1:5] for w in model.landmarks.words) == sorted(w[:4] for w in insults)
+    probe = spark.createDataFrame([(i, f"some clean words and {w} more") for i, w in enumerate(insults + ["nothing"])],
+                                  "doc_id long, text string")
+    scores = [r.score for r in toxicity.scored(probe, model).orderBy("doc_id").collect()]
+    assert min(scores[:-1]) > 0.5 and scores[-1] < 0.1
+
+
+def test_near_copies_are_one_family():
+    text = " ".join(f"word{i}" for i in range(60))
+    copy = text.replace("word30", "other")
+    alone = " ".join(f"thing{i}" for i in range(60))
+    a, b, c, d = toxicity.families([toxicity.sketch(t) for t in (text, alone, copy, "")])
+    assert a == c and len({a, b, d}) == 3
