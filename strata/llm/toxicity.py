@@ -74,15 +74,17 @@ def kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """
     n, p, q = len(a), a.shape[1], b.shape[1]
     a, b = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)  # a step handles neighbouring numbers
-    same = (a[:, None] == b[None]) & (a[:, None] > 0)
+    same = ((a[:, None] == b[None]) & (a[:, None] > 0)).astype(np.float32)
     upto = np.ones((p + 1, q + 1, n), np.float32)
     for _ in range(LENGTH - 1):
         fresh = np.zeros((p + 1, q + 1, n), np.float32)
-        for i in range(1, p + 1):
-            run = np.zeros(n, np.float32)
-            for j in range(1, q + 1):
-                run = DECAY * (run + DECAY * same[i - 1, j - 1] * upto[i - 1, j - 1])
-                fresh[i, j] = DECAY * fresh[i - 1, j] + run
+        ends = fresh[1:, 1:]
+        np.multiply(same, upto[:p, :q], out=ends)
+        ends *= np.float32(DECAY ** 2)
+        for j in range(1, q):  # a character of b more, for all places of a
+            ends[:, j] += np.float32(DECAY) * ends[:, j - 1]
+        for i in range(1, p):  # a character of a more, for all places of b
+            ends[i] += np.float32(DECAY) * ends[i - 1]
         upto = fresh
     return (same * upto[:p, :q]).sum(axis=(0, 1), dtype=np.float64) * DECAY ** 2
 
@@ -124,7 +126,7 @@ class Landmarks:
         return some[length >= LENGTH]
 
     @staticmethod
-    def pairs(a: np.ndarray, b: np.ndarray, block: int = 4096) -> np.ndarray:
+    def pairs(a: np.ndarray, b: np.ndarray, block: int = 512) -> np.ndarray:
         out, width = np.empty(len(a)), (a > 0).sum(axis=1)
         order = np.argsort(width, kind="stable")
         for i in range(0, len(a), block):  # words of like length together, without their padding
@@ -133,8 +135,8 @@ class Landmarks:
         return out
 
     def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """``(rows, values)``: the words with a kernel above zero and their kernels with all landmarks."""
-        pieces = [plain(w) for w in words]
+        """``(rows, values)``: the words (see :func:`plain`) with a kernel above zero and their kernels with all landmarks."""
+        pieces = list(words)
         owner = np.arange(len(pieces))
         longer = [i for i, w in enumerate(pieces) if len(w) > WINDOW]
         if longer:  # overlapping windows of long words
@@ -164,8 +166,8 @@ class Tester:
         self.clear()
 
     def clear(self) -> None:
-        self.index = _Index()
-        self.place = np.empty(0, np.int64)
+        self.index, self.stems = _Index(), _Index()
+        self.stem, self.place = np.empty(0, np.int64), np.empty(0, np.int64)
         self.values = np.zeros((0, len(self.landmarks.words)))
 
     def features(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -175,14 +177,18 @@ class Tester:
         split = [sentences(t or "") for t in texts]
         counts = np.fromiter((len(w) for w, _ in split), np.int64, len(split))
         at = np.fromiter((self.index[w] for words, _ in split for w in words), np.int64, int(counts.sum()))
-        if self.index.fresh:
-            rows, values = self.landmarks(self.index.fresh)
-            place = np.full(len(self.index.fresh), -1)
+        if self.index.fresh:  # words that differ in signs only are compared once
+            fresh = [self.stems[plain(w)] for w in self.index.fresh]
+            self.stem = np.concatenate((self.stem, np.array(fresh, np.int64)))
+            self.index.fresh = []
+        if self.stems.fresh:
+            rows, values = self.landmarks(self.stems.fresh)
+            place = np.full(len(self.stems.fresh), -1)
             place[rows] = len(self.values) + np.arange(len(rows))
             self.place = np.concatenate((self.place, place))
             self.values = np.concatenate((self.values, values))
-            self.index.fresh = []
-        place = self.place[at] if len(at) else at
+            self.stems.fresh = []
+        place = self.place[self.stem[at]] if len(at) else at
         hit = np.flatnonzero(place >= 0)
         owner = np.repeat(np.arange(len(texts)), counts)[hit]
         number = np.concatenate([s for _, s in split] or [hit])[hit]

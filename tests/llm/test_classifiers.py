@@ -135,7 +135,7 @@ def test_string_kernel():
 def test_kernels_of_masked_and_broken_words():
     marks = toxicity.Landmarks(["^stup", "^idio", "^tras", "^idiotic", "^nnana"])
     words = ["st*pid", "stvpid", "tr4sh", "idi0t", "idiot", "iditoic", "nanana", "banana", "the", "started", "plain", "x" * 30 + "idiot", ""]
-    rows, values = marks(words)
+    rows, values = marks([toxicity.plain(w) for w in words])
     found = np.zeros((len(words), len(marks.words)))
     found[rows] = values
     size = [plain_kernel(m, m) ** 0.5 for m in marks.words]
