@@ -10,6 +10,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators import aggregates
+
 
 def _like(col: str, needle: str):
     return F.contains(F.lower(F.col(col)), F.lower(F.lit(needle)))
@@ -37,6 +39,21 @@ def ask_latest_year_ranking(annual: DataFrame, measure: str = "unit labor cost")
              .orderBy(F.desc("_order")).drop("_order"))
 
 
+def ask_latest_year_of_wide(wide: DataFrame, measure: str = "unit labor cost") -> DataFrame:
+    """Q2 from the wide table, aggregating the latest year only.
+
+    On a table partitioned by year the one-row subquery prunes at run time: the
+    values read are those of one year; all years are read for measure and kind only.
+    """
+    m = wide.where(_like("measure_text", measure) & (F.col("period_type") == "annual"))
+    latest = m.agg(F.max("year").alias("_latest"))
+    newest = m.join(F.broadcast(latest), F.col("year") == F.col("_latest"), "left_semi")
+    return (aggregates.annual_aggregation(newest)
+            .select("sector_name", F.round("avg_value", 2).alias("avg_value"), "series_count",
+                    F.col("avg_value").alias("_order"))
+            .orderBy(F.desc("_order")).drop("_order"))
+
+
 def ask_sector_comparison(quarterly: DataFrame, sectors: Mapping[str, str] | None = None,
                           measure: str = "output per hour", since: int = 2015) -> DataFrame:
     """Q3: sectors side by side per quarter (conditional aggregate, not pivot:

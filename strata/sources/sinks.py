@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 
 def annotate_columns(df: DataFrame, comments: Mapping[str, str]) -> DataFrame:
@@ -52,3 +53,14 @@ def write_clustered(df: DataFrame, path: str, cluster_by: Sequence[str]) -> Data
     """Write parquet files laid out by ``cluster_by``; return a read of them."""
     clustered(df, cluster_by).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def write_partitioned(df: DataFrame, path: str, key: str) -> DataFrame:
+    """Write one folder per value of ``key``; return a read that prunes them, at run time too.
+
+    Rows of a value go together, so a folder has few files; adaptive
+    execution cuts a value with many rows into several tasks and files.
+    """
+    df.hint("rebalance", F.col(key)).write.mode("overwrite").partitionBy(key).parquet(path)
+    columns = [f for f in df.schema.fields if f.name != key]
+    return df.sparkSession.read.schema(StructType([*columns, df.schema[key]])).parquet(path).select(*df.columns)
