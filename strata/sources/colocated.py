@@ -59,6 +59,6 @@ def lay_out(fact: DataFrame, dim: DataFrame, key: str, path: str, buckets: int =
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False)) if hot else F.lit(False)
     apart = F.col(key).isNull() | is_hot
     fact.where(apart).write.mode("overwrite").parquet(f"{path}/hot_fact")
-    return Colocated(key, bucketed(fact.where(~apart), f"{path}/fact", key, buckets),
-                     bucketed(dim, f"{path}/dim", key, buckets),
-                     spark.read.schema(fact.schema).parquet(f"{path}/hot_fact"), dim.where(is_hot))
+    laid = bucketed(dim, f"{path}/dim", key, buckets)
+    return Colocated(key, bucketed(fact.where(~apart), f"{path}/fact", key, buckets), laid,
+                     spark.read.schema(fact.schema).parquet(f"{path}/hot_fact"), laid.where(is_hot))
