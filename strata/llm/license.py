@@ -1,13 +1,15 @@
-"""Licence scans with built-in functions: n-gram logistic regression over paragraphs, confirmed by templates."""
+"""Licence scans with built-in functions: n-gram logistic regression over windows of lines, confirmed by templates."""
 
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import written
+
 # Customary wordings of licence notices by family.
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -68,11 +70,11 @@ NO_LICENCES = [
 
 UNKNOWN = "unknown"
 OTHER = "other"
-#: Hashed features, corpus windows learned as no licence, the texts they come from, and the overlap that confirms.
-FEATURES = 1 << 13
-SAMPLE = 4000
-SAMPLE_DOCS = 1000
+#: The overlap that confirms, and that from which a window of the corpus is no example of the class of no licence.
 OVERLAP = 0.8
+RESEMBLES = 0.5
+#: Weight of the fixed sentences that are no licence, as a share of that of the corpus.
+SENTENCES = 0.1
 #: Words of a window, and from one window's start to the next; a shorter paragraph is one window.
 WINDOW, STEP = 32, 24
 #: Share of paragraphs that are no licence which may be believed to be one.
@@ -122,25 +124,72 @@ def pairs(tokens: Column) -> Column:
     return F.array_distinct(F.filter(grams(tokens), lambda g: g.contains(" ")))
 
 
-def similarity(forms: Column, own: Column) -> Column:
-    """Share of common word pairs with the closest form: of the own pairs or of the form's, whichever is more."""
+def similarity(forms: Column, own: Column, pairs_in_all: Column) -> Column:
+    """Share of common word pairs with the closest form: of the ``pairs_in_all`` of the window or of the form's, whichever is more."""
     common = lambda t: F.size(F.array_intersect(t, own))
     return F.coalesce(F.array_max(F.transform(forms, lambda t: F.greatest(
-        common(t) / F.greatest(F.size(own), F.lit(3)), common(t) / F.greatest(F.size(t), F.lit(1))))), F.lit(0.0))
+        common(t) / F.greatest(pairs_in_all, F.lit(3)), common(t) / F.greatest(F.size(t), F.lit(1))))), F.lit(0.0))
+
+
+def notices(spark: SparkSession) -> DataFrame:
+    """``(family, tokens)``: the templates' windows, their lines where they are wrapped, and each name behind each opening."""
+    openings = spark.createDataFrame([(o,) for o in OPENINGS], "opening string")
+    short = (spark.createDataFrame(NAMES, "family string, name string").join(F.broadcast(openings), F.lit(True))  # two fixed lists
+             .select("family", words(F.concat_ws(" ", "opening", "name")).alias("tokens")))
+    forms = templates(spark)
+    lines = forms.where(F.size("tokens") > 16).select("family", F.explode(windows(F.col("tokens"), 14, 4)).alias("tokens"))  # wrapped
+    return forms.select("family", F.explode(windows(F.col("tokens"))).alias("tokens")).union(lines).union(short)
+
+
+def vocabulary(spark: SparkSession) -> list[str]:
+    """The words and word pairs of the notices: some hundreds, from fixed lists."""
+    return sorted(r.gram for r in notices(spark).select(F.explode(grams(F.col("tokens"))).alias("gram")).distinct().collect())
+
+
+def known_windows(docs: DataFrame, vocabulary: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, paragraph, part, held, known, pairs_in_all)`` of every window of every line.
+
+    ``known`` are the window's words and pairs that a notice may have, sorted,
+    with repeats; null for a window without any such pair, which can be no
+    licence. ``held`` is one half of the windows, equal ones together.
+    """
+    known_pairs = [g for g in vocabulary if " " in g]
+    known_words = [g for g in vocabulary if " " not in g]
+    first, second = (sorted({p.split(" ")[i] for p in known_pairs}) for i in (0, 1))
+    tokens = F.col("tokens")
+    both = F.zip_with(tokens, F.slice(tokens, 2, F.greatest(F.size(tokens) - 1, F.lit(0))),
+                      lambda a, b: F.when(a.isin(first) & b.isin(second), F.concat_ws(" ", a, b)))
+    found = (cut(paragraphs(docs, id_col, text_col)).withColumn("held", F.pmod(F.xxhash64("tokens", F.lit(1)), F.lit(2)) == 1)
+             .withColumn("found", F.filter(both, lambda p: p.isin(known_pairs))))
+    some = F.size("found") > 0
+    return found.select("doc_id", "paragraph", "part", "held",
+                        F.when(some, F.sort_array(F.concat(F.filter(tokens, lambda w: w.isin(known_words)), "found"))).alias("known"),
+                        F.when(some, F.size(pairs(tokens))).alias("pairs_in_all"))
+
+
+def no_licences(rows: DataFrame) -> DataFrame:
+    """``(held, known, n)``: all windows of the corpus that resemble no form, counted by what they hold of the vocabulary.
+
+    Those that hold no pair are counted together, with ``known`` null.
+    """
+    forms = templates(rows.sparkSession).agg(F.collect_list(pairs(F.col("tokens"))).alias("forms"))
+    counted = rows.groupBy("held", "known", "pairs_in_all").agg(F.count("*").alias("n")).join(F.broadcast(forms), F.lit(True))  # one row
+    alike = F.when(F.col("known").isNull(), 0.0).otherwise(similarity(F.col("forms"), F.col("known"), F.col("pairs_in_all")))
+    return counted.where(alike < RESEMBLES).groupBy("held", "known").agg(F.sum("n").alias("n"))
 
 
 class Classifier:
-    """Multinomial logistic regression on hashed word n-grams, and the probability from which a family is believed."""
+    """Multinomial logistic regression on word n-grams, and the probability from which a family is believed."""
 
-    def __init__(self, model: LogisticRegressionModel, families: list[str], least: float):
-        self.model, self.families, self.least = model, families, least
+    def __init__(self, counts: CountVectorizerModel, model: LogisticRegressionModel, families: list[str], least: float):
+        self.counts, self.model, self.families, self.least = counts, model, families, least
 
     def predict(self, texts: DataFrame) -> DataFrame:
-        """``texts(tokens, ...)`` that are likelier a licence than none, with ``likeliest``, ``family`` and ``probability``.
+        """``texts(known, ...)`` that are likelier a licence than none, with ``likeliest``, ``family`` and ``probability``.
 
         The family is the likeliest one; below the calibrated limit it is unknown.
         """
-        scored = self.model.transform(featured(texts)).where("prediction <> 0")  # class 0 is OTHER
+        scored = self.model.transform(self.counts.transform(texts)).where("prediction <> 0")  # class 0 is OTHER
         named = F.element_at(F.array(*map(F.lit, self.families)), F.col("prediction").cast("int") + 1)
         p = F.array_max(vector_to_array("probability"))
         return (scored.withColumn("likeliest", named).withColumn("probability", p)
@@ -148,70 +197,50 @@ class Classifier:
                 .drop("features", "rawPrediction", "prediction"))
 
 
-def featured(texts: DataFrame) -> DataFrame:
-    """Hashed n-gram counts beside the texts."""
-    marked = texts.withColumn("grams", grams(F.col("tokens")))
-    return HashingTF(numFeatures=FEATURES, inputCol="grams", outputCol="features").transform(marked).drop("grams")
+def train(rows: DataFrame, vocabulary: list[str]) -> Classifier:
+    """A classifier from the notices, their parts, notices among other words, and all windows of the corpus.
 
-
-def corpus_windows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(tokens)``: at most SAMPLE windows of SAMPLE_DOCS distinct texts, those with the smallest hashes, that repeat no template."""
-    spark = docs.sparkSession
-    key = F.xxhash64(F.col(text_col).cast("string"))
-    keys = docs.where(F.col(text_col).isNotNull()).select(key.alias("chosen")).distinct().orderBy("chosen").limit(SAMPLE_DOCS)
-    some = docs.join(F.broadcast(keys), key == F.col("chosen"), "left_semi")  # SAMPLE_DOCS numbers
-    rows = (cut(paragraphs(some, id_col, text_col)).select("tokens").distinct().orderBy(F.xxhash64("tokens"), "tokens").limit(SAMPLE))
-    forms = templates(spark).agg(F.collect_list(pairs(F.col("tokens"))).alias("forms"))
-    known = rows.withColumn("own", pairs(F.col("tokens"))).join(F.broadcast(forms), F.lit(True))  # one row
-    return known.where(similarity(F.col("forms"), F.col("own")) < 0.5).select("tokens")
-
-
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Classifier:
-    """A classifier from the templates, their parts, short notices made of names, and windows of the corpus.
-
-    A family's examples are its templates' windows, what is left of them when
-    words are missing at either end, each name behind each opening, and both
-    among words of the corpus. The class of no licence is learned from one half
-    of the corpus windows (at most SAMPLE, of SAMPLE_DOCS texts) that resemble
-    no template, and from sentences that use the words of licences. The limit
-    of belief comes from the other half: at most MISTAKES of it reach it.
+    ``rows`` are the corpus's ``known_windows``, of which those count that
+    share a word pair with a notice; the others are no licence anyway. A
+    family's examples are its notices, what is left of them when words are
+    missing at either end, and both among the words of ordinary sentences. The
+    class of no licence is learned from one half of the corpus windows that
+    resemble no form, and from sentences that use the words of licences; it
+    weighs as much as all others, however large the corpus. The limit of
+    belief comes from the other half: at most MISTAKES of all its windows reach it.
     """
-    spark = docs.sparkSession
+    spark = rows.sparkSession
     size = F.size("tokens")
-    openings = spark.createDataFrame([(o,) for o in OPENINGS], "opening string")
-    short = (spark.createDataFrame(NAMES, "family string, name string").join(F.broadcast(openings), F.lit(True))  # two fixed lists
-             .select("family", words(F.concat_ws(" ", "opening", "name")).alias("tokens")))
-    forms = templates(spark)
-    lines = forms.where(size > 16).select("family", F.explode(windows(F.col("tokens"), 14, 4)).alias("tokens"))  # wrapped
-    whole = forms.select("family", F.explode(windows(F.col("tokens"))).alias("tokens")).union(lines).union(short)
+    whole = notices(spark)
     cuts = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(z).alias("z")) for a in range(4) for z in range(4)])).alias("cut")
     parts = (whole.select("family", "tokens", cuts)
              .where((F.col("cut.a") + F.col("cut.z") == 0)
                     | (size - F.col("cut.a") - F.col("cut.z") >= F.greatest(F.lit(5), F.floor(size * 0.7))))
              .select("family", F.slice("tokens", F.col("cut.a") + 1, size - F.col("cut.a") - F.col("cut.z")).alias("tokens")))
-    corpus = corpus_windows(docs, id_col, text_col).withColumn("held", F.pmod(F.xxhash64("tokens", F.lit(1)), F.lit(2)) == 1).cache()
-    # each notice once alone and once among the words of some corpus window
-    some = corpus.where("NOT held AND size(tokens) >= 16").orderBy(F.xxhash64("tokens"), "tokens").limit(256)
-    numbered = some.select(F.collect_list("tokens").alias("around"))  # 256 windows at most
-    among = (whole.join(F.broadcast(numbered), F.lit(True)).where("size(around) > 0")
-             .withColumn("w", F.element_at("around", (F.pmod(F.xxhash64("tokens"), F.size("around")) + 1).cast("int")))
+    sentences = spark.createDataFrame([(t,) for t in NO_LICENCES], "text string").select(words(F.col("text")).alias("w"))
+    # each notice once alone and once among the words of each sentence
+    among = (whole.join(F.broadcast(sentences), F.lit(True))  # a fixed list
              .select("family", F.slice(F.concat(F.slice("w", 1, 8), "tokens", F.slice("w", 9, 24)), 1, WINDOW).alias("tokens")))
-    none = (corpus.where("NOT held").select(F.lit(OTHER).alias("family"), "tokens")
-            .union(spark.createDataFrame([(OTHER, t) for t in NO_LICENCES], "family string, text string")
-                   .select("family", words(F.col("text")).alias("tokens"))))
+    examples = parts.union(among).select("family", grams(F.col("tokens")).alias("known"), F.lit(1.0).alias("weight"))
+    corpus = written(no_licences(rows), "license-corpus")
+    licences = examples.count()
+    learned = corpus.where("NOT held AND known IS NOT NULL")
+    windows_learned = learned.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    shares = (1 / (1 + SENTENCES), SENTENCES / (1 + SENTENCES)) if windows_learned else (0.0, 1.0)
+    none = (learned.select(F.lit(OTHER).alias("family"), "known", (F.col("n") * (licences * shares[0] / max(windows_learned, 1))).alias("weight"))
+            .union(sentences.select(F.lit(OTHER), grams(F.col("w")), F.lit(licences * shares[1] / len(NO_LICENCES)))))
     families = [OTHER, *sorted({f for f, _ in TEMPLATES})]
     label = F.array_position(F.array(*map(F.lit, families)), F.col("family")) - 1
-    rows = featured(parts.union(among).union(none).withColumn("label", label.cast("double"))).repartition(4, "label", "tokens").cache()
-    # the class of no licence weighs as much as all others at least, however small the corpus
-    share = rows.agg(F.count_if(F.col("label") > 0) / F.greatest(F.count_if(F.col("label") == 0), F.lit(1))).first()[0]
-    weighed = rows.withColumn("weight", F.when(F.col("label") == 0, F.lit(max(1.0, share))).otherwise(F.lit(1.0)))
+    counts = CountVectorizerModel.from_vocabulary(vocabulary, "known", "features")
+    weighed = counts.transform(examples.union(none).withColumn("label", label.cast("double"))).select("features", "label", "weight")
     model = LogisticRegression(family="multinomial", regParam=1e-3, elasticNetParam=0.5, maxIter=60, weightCol="weight").fit(weighed)
-    p = vector_to_array("probability")
-    wrong = (model.transform(featured(corpus.where("held"))).select(F.array_max(F.slice(p, 2, len(families) - 1)).alias("p"))
-             .agg(F.percentile("p", F.lit(1 - MISTAKES))).first()[0])
-    rows.unpersist()
-    corpus.unpersist()
-    return Classifier(model, families, max(0.5, wrong or 0.0))
+    held = corpus.where("held").select(F.coalesce("known", F.array().cast("array<string>")).alias("known"), "n", F.col("known").isNull().alias("bare"))
+    p = F.array_max(F.slice(vector_to_array("probability"), 2, len(families) - 1))
+    # by steps of a ten-thousandth: the percentile keeps what is distinct
+    steps = (model.transform(counts.transform(held)).select(F.when(F.col("bare"), 0.0).otherwise(F.ceil(p * 10_000) / 10_000).alias("p"), "n")
+             .groupBy("p").agg(F.sum("n").alias("n")))
+    wrong = steps.agg(F.percentile("p", F.lit(1 - MISTAKES), F.col("n"))).first()[0]
+    return Classifier(counts, model, families, max(0.5, wrong or 0.0))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -227,11 +256,17 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     their similarity is that with the likeliest family. A window that shares no
     word pair with any form of its likeliest family is no licence. Null and empty texts have none; ids may be null or repeat
     (each row gives its own lines); an empty table gives an empty result.
+    The texts are read once, into a table of what each window holds of the
+    notices' words and pairs; the class of no licence and the limit are
+    learned from all of it.
     """
-    named = train(docs, id_col, text_col).predict(cut(paragraphs(docs, id_col, text_col)))
-    forms = templates(docs.sparkSession).select(F.col("family").alias("likeliest"), pairs(F.col("tokens")).alias("pairs")).groupBy(
+    spark = docs.sparkSession
+    grams_known = vocabulary(spark)
+    rows = written(known_windows(docs, grams_known, id_col, text_col), "license-windows")
+    named = train(rows, grams_known).predict(rows.where("known IS NOT NULL"))
+    forms = templates(spark).select(F.col("family").alias("likeliest"), pairs(F.col("tokens")).alias("pairs")).groupBy(
         "likeliest").agg(F.collect_list("pairs").alias("forms"))
-    judged = (named.withColumn("own", pairs(F.col("tokens"))).join(F.broadcast(forms), "likeliest")
-              .withColumn("similarity", similarity(F.col("forms"), F.col("own"))).where("similarity > 0"))
+    judged = (named.join(F.broadcast(forms), "likeliest")
+              .withColumn("similarity", similarity(F.col("forms"), F.col("known"), F.col("pairs_in_all"))).where("similarity > 0"))
     return judged.select("doc_id", "paragraph", "part", "family", "probability", "similarity",
                          ((F.col("similarity") >= OVERLAP) & (F.col("family") != UNKNOWN)).alias("confirmed"))

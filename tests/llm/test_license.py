@@ -40,3 +40,20 @@ def test_windows_cover_every_word(spark):
 def test_odd_rows(odd, nothing):
     assert license.scan(odd).count() == 0
     assert license.scan(nothing).count() == 0
+
+
+def test_every_window_of_the_corpus_is_counted(spark):
+    docs = spark.range(6000).selectExpr("id AS doc_id", """CASE WHEN id % 2 = 0 THEN concat('number ', id, ' of the books')
+        ELSE concat('nothing here ', id, '\nReleased under the MIT License.') END AS text""")
+    rows = license.known_windows(docs, license.vocabulary(spark))
+    assert rows.count() == 9000
+    found = [(r.known, r.n) for r in license.no_licences(rows).collect()]
+    assert sum(n for known, n in found if known is None) == 3000
+    assert sum(n for known, n in found if known is not None) == 3000  # the notices resemble a form
+
+
+def test_limit_comes_from_all_windows(spark):
+    line = "Students like the public license of the library"
+    docs = spark.range(5000).selectExpr("id AS doc_id", f"concat('{line} ', id) AS text")
+    found = license.scan(docs).where("family <> 'unknown'").count()
+    assert found <= 5  # a thousandth
