@@ -26,6 +26,8 @@ LANDMARKS = 96
 CHANCE = 0.05
 STEMS = range(4, 9)
 REMEMBERED = 150_000
+#: Words whose kernels are gathered at once.
+GATHERED = 8192
 LETTERS = re.compile(r"[\W\d_]+")
 #: Neighbouring words of at most three letters each, or of signs, whatever white space is between them.
 SHORT = re.compile(r"(?<!\S){0}(?:\s+{0})+(?!\S)".format(r"(?=\S)(?:[^\w\s]*\w){0,3}[^\w\s]*"))
@@ -106,24 +108,23 @@ class Landmarks:
                      / self.size[:, None] / self.size[None, :]) if words else np.zeros((0, 0))
 
     @staticmethod
-    def shared(codes: np.ndarray, landmark: np.ndarray) -> np.ndarray:
-        """Rows whose longest common subsequence with the landmark has LENGTH characters or more.
+    def shared(letters: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
+        """Words whose longest common subsequence with a landmark has LENGTH characters or more.
 
-        A bit of ``row`` is a place of the landmark that raises the length; a
-        column of the comparison is one step for all rows.
+        ``letters`` has a column for each word and a row for each of its
+        places, ``places`` the landmark's places of each letter as bits. A bit
+        of ``row`` is a place of the landmark that raises the length; a
+        place of the words is one step for all of them.
         """
-        letters = landmark[landmark > 0]
-        match = np.zeros(codes.shape, np.uint32)
-        for letter in np.unique(letters):
-            match[codes == letter] = sum(1 << int(i) for i in np.flatnonzero(letters == letter))
-        some = np.flatnonzero((match > 0).sum(axis=1) >= LENGTH)
-        match = np.ascontiguousarray(match[some].T)
-        row = np.full(len(some), (1 << len(letters)) - 1, np.uint64)
-        for j in range(codes.shape[1]):
-            both = row & match[j]
+        match = places[letters]
+        some = np.flatnonzero((match > 0).sum(axis=0) >= LENGTH)
+        match = match[:, some]
+        every = np.uint32((1 << length) - 1)
+        row = np.full(len(some), every, np.uint32)  # what is carried beyond its bits is cut off
+        for step in match:
+            both = row & step
             row = (row + both) | (row - both)
-        length = len(letters) - np.bitwise_count(row & np.uint64((1 << len(letters)) - 1)).astype(np.int64)
-        return some[length >= LENGTH]
+        return some[length - np.bitwise_count(row & every).astype(np.int64) >= LENGTH]
 
     @staticmethod
     def pairs(a: np.ndarray, b: np.ndarray, block: int = 512) -> np.ndarray:
@@ -145,9 +146,16 @@ class Landmarks:
             owner = np.concatenate((owner, [i for i, _ in more]))
             pieces = [w[:WINDOW] for w in pieces] + [w for _, w in more]
         codes = coded(pieces, WINDOW)
+        alphabet = np.unique(self.codes[self.codes > 0])
+        at = np.minimum(np.searchsorted(alphabet, codes), max(len(alphabet) - 1, 0))
+        # letters of no landmark are 0; numbered once for all landmarks
+        letters = np.ascontiguousarray(np.where(alphabet[at] == codes, at + 1, 0).T.astype(np.uint16)) if len(alphabet) else None
         left, right = [], []
         for k, landmark in enumerate(self.codes):
-            hit = self.shared(codes, landmark)
+            places = np.zeros(len(alphabet) + 1, np.uint32)
+            own = landmark[landmark > 0]
+            np.bitwise_or.at(places, np.searchsorted(alphabet, own) + 1, np.uint32(1) << np.arange(len(own), dtype=np.uint32))
+            hit = self.shared(letters, places, len(own))
             left.append(hit)
             right.append(np.full(len(hit), k))
         left, right = np.concatenate(left or [owner[:0]]), np.concatenate(right or [owner[:0]])
@@ -172,7 +180,7 @@ class Tester:
 
     def features(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """``(owner, kernels)`` of the sentences that touch a landmark: the largest kernel of a sentence's words."""
-        if len(self.index) > REMEMBERED:
+        if len(self.index) > REMEMBERED or len(self.values) > REMEMBERED // 4:
             self.clear()
         split = [sentences(t or "") for t in texts]
         counts = np.fromiter((len(w) for w, _ in split), np.int64, len(split))
@@ -196,7 +204,14 @@ class Tester:
             return owner, np.zeros((0, len(self.landmarks.words)))
         new = np.concatenate(([True], (owner[1:] != owner[:-1]) | (number[1:] != number[:-1])))
         starts = np.flatnonzero(new)
-        return owner[starts], np.maximum.reduceat(self.values[place[hit]], starts)
+        ends = np.append(starts[1:], len(hit))
+        kernels, rows = np.empty((len(starts), self.values.shape[1])), place[hit]
+        i = 0
+        while i < len(starts):  # whole sentences of some GATHERED words at once
+            j = max(i + 1, int(np.searchsorted(ends, starts[i] + GATHERED, "right")))
+            kernels[i:j] = np.maximum.reduceat(self.values[rows[starts[i]:ends[j - 1]]], starts[i:j] - starts[i])
+            i = j
+        return owner[starts], kernels
 
 
 class Model:

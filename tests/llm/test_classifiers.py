@@ -192,3 +192,39 @@ def test_near_copies_are_one_family():
     alone = " ".join(f"thing{i}" for i in range(60))
     a, b, c, d = toxicity.families([toxicity.sketch(t) for t in (text, alone, copy, "")])
     assert a == c and len({a, b, d}) == 3
+
+
+def test_kernels_are_gathered_a_few_sentences_at_once(monkeypatch):
+    import tracemalloc
+    landmarks = toxicity.Landmarks([f"^{a}{b}idiot" for a in "abcdefgh" for b in "klmnopqr"])
+    texts = ["You idiot. What a moronic idiot and an idiotic banana! Fine day.", None, "", "no words of them", "i d i o t s, 1d1ots " * 3] * 3
+    whole = toxicity.Tester(landmarks).features(texts)
+    monkeypatch.setattr(toxicity, "GATHERED", 2)
+    found = toxicity.Tester(landmarks).features(texts)
+    assert (found[0] == whole[0]).all() and (found[1] == whole[1]).all() and len(whole[0])
+    monkeypatch.undo()
+    tester, long = toxicity.Tester(landmarks), "idiot " * 99_999 + "idiot"  # one sentence to a text, many words
+    tester.features(["idiot"])
+    tracemalloc.start()
+    tester.features([long.replace("idiot idiot ", "idiot idiot. ")])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100_000 * len(landmarks.words) * 8  # less than all words' kernels
+
+
+def test_shared_letters_are_those_of_the_longest_common_subsequence():
+    rng = np.random.default_rng(3)
+    words = sorted({"^" + "".join(rng.choice(list("abcde"), rng.integers(1, 22))) for _ in range(80)})
+    landmarks = toxicity.Landmarks(sorted({w[:24] for w in words[::8]}))
+
+    def longest(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            before = row[:]
+            for j, y in enumerate(b):
+                row[j + 1] = before[j] + 1 if x == y else max(row[j], before[j + 1])
+        return row[-1]
+
+    rows, values = landmarks(words)
+    found = {(words[r], landmarks.words[k]) for r, k in zip(rows[np.nonzero(values)[0]], np.nonzero(values)[1])}
+    assert found == {(w, m) for w in words for m in landmarks.words if longest(w, m) >= toxicity.LENGTH}
