@@ -2,7 +2,8 @@
 
 A group's state is mergeable: rows, values, their sum and sum of squares as
 decimals (so a retraction cancels exactly what was added), minimum and
-maximum. Only a group whose minimum or maximum was taken away, and not
+maximum; an aggregate that reports no deviation, or no extremes, keeps NULL for
+them. Only a group whose minimum or maximum was taken away, and not
 reached again by an added row, is looked up in the facts once more.
 """
 
@@ -27,9 +28,10 @@ def _values(value: str) -> tuple[Column, Column]:
     return F.col(value).cast(EXACT), (x * x).cast(EXACT)
 
 
-def delta_of(changes: DataFrame, by: Sequence[str], value: str, extreme: str) -> DataFrame:
+def delta_of(changes: DataFrame, by: Sequence[str], value: str, extreme: str, squares: bool = True) -> DataFrame:
     """What ``changes`` (facts with ``change`` 1 or -1) do to each group, combined in map tasks."""
     x, square = _values(value)
+    square = square if squares else F.lit(0).cast(EXACT)
     e, sign = F.col(extreme).cast("double"), F.col("change")
     added, gone = F.when(sign > 0, e), F.when(sign < 0, e)
     return changes.groupBy(*by).agg(
@@ -106,6 +108,8 @@ class MaintainedAggregate:
     value: str
     facts: Callable[[DataFrame], DataFrame]  # silver rows (or changes) -> the facts that are aggregated
     extreme: str | None = None               # column of minimum and maximum; the value itself if none
+    extremes: bool = True                    # whether minimum and maximum are kept; without them facts are never read again
+    squares: bool = True                     # whether the sum of squares is kept
 
     def apply(self, changes: DataFrame, silver: Callable[[], DataFrame], batch: int) -> bool:
         """Applies silver ``changes``; ``silver`` gives all rows after them. False if the batch was applied before.
@@ -114,10 +118,16 @@ class MaintainedAggregate:
         """
         if batch <= self.table.last():
             return False
-        delta = self.table.with_bucket(delta_of(self.facts(changes), self.by, self.value, self.extreme or self.value))
+        delta = self.table.with_bucket(delta_of(self.facts(changes), self.by, self.value, self.extreme or self.value, self.squares))
         delta = cut(delta, "delta")
         touched = self.table.touched(delta)
-        after = cut(applied(self.table.read(touched).drop("bucket"), delta.drop("bucket"), self.by), "after")
+        after = applied(self.table.read(touched).drop("bucket"), delta.drop("bucket"), self.by)
+        if not self.squares:
+            after = after.withColumn("squares", F.lit(None).cast(EXACT))
+        if not self.extremes:  # each group once, from both sides: nothing more to look up
+            after = after.withColumns({c: F.lit(None).cast("double") for c in ("least", "most")})
+            return self.table.replace(one_file_a_bucket(self.table.with_bucket(after)), touched, batch)
+        after = cut(after, "after")
         if not after.where("recheck").isEmpty():
             after = with_extremes(after, self.facts(silver()), self.by, self.extreme or self.value)
         return self.table.replace(one_file_a_bucket(self.table.with_bucket(after)), touched, batch)

@@ -21,9 +21,9 @@ POPULATION = {"nation_id": "string", "nation": "string"}
 
 
 def _aggregate(spark: SparkSession, root: str, by: Mapping[str, str], value: str, facts: Callable[[DataFrame], DataFrame],
-               buckets: int, extreme: str | None = None) -> MaintainedAggregate:
+               buckets: int, extreme: str | None = None, **kept: bool) -> MaintainedAggregate:
     table = BucketedTable(spark, root, tuple(by), state_schema(by), buckets)
-    return MaintainedAggregate(table, tuple(by), value, facts, extreme)
+    return MaintainedAggregate(table, tuple(by), value, facts, extreme, **kept)
 
 
 class ProductivityGold:
@@ -45,16 +45,18 @@ class ProductivityGold:
         def of(kind: str):
             return lambda facts: aggregates.of_kind(facts, kind)
 
-        self.quarterly = _aggregate(spark, f"{root}/gold/quarterly", QUARTERLY, "value", of("quarterly"), buckets)
-        self.annual = _aggregate(spark, f"{root}/gold/annual", ANNUAL, "value", of("annual"), buckets)
-        self.annual_sums = _aggregate(spark, f"{root}/gold/annual_sums", ANNUAL_SUMS, "value", of("quarterly"), buckets)
+        self.quarterly = _aggregate(spark, f"{root}/gold/quarterly", QUARTERLY, "value", of("quarterly"), buckets, squares=False)
+        self.annual = _aggregate(spark, f"{root}/gold/annual", ANNUAL, "value", of("annual"), buckets, squares=False)
+        self.annual_sums = _aggregate(spark, f"{root}/gold/annual_sums", ANNUAL_SUMS, "value", of("quarterly"), buckets,
+                                      extremes=False, squares=False)
 
     def wide(self, facts: DataFrame) -> DataFrame:
         kept = expect_all_or_drop(facts, specs.WIDE_RULES, split=False)
         return joins.with_series_and_period(kept, joins.sized_broadcast(self.enriched), self.period)
 
     def follow(self, table: BucketedTable, batch: int) -> None:
-        changed = maintained.cut(self.wide(incremental.changes(table, specs.DATA, batch)), "changes")
+        asked = dict.fromkeys((*QUARTERLY, *ANNUAL, *ANNUAL_SUMS, "period_type", "value", "change"))
+        changed = maintained.cut(self.wide(incremental.changes(table, specs.DATA, batch)).select(*asked), "changes")
         for one in (self.quarterly, self.annual, self.annual_sums):
             one.apply(changed, lambda: self.wide(incremental.silver(table, specs.DATA)), batch)
 

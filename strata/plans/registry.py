@@ -18,6 +18,7 @@ from ..functions.strings import clean_strings, rename_columns, to_upper
 from ..functions.typing_rules import schema_data, schema_population, schema_series
 from ..operators import aggregates, bitmaps, dedup, joins, quality, quarantine, ranking, reconcile
 from ..session import scratch_path, session_key
+from ..sizing import estimated_bytes
 from ..sources import colocated, fixtures, layout, manifest, sinks, tsv
 from ..streaming import incremental, ingest
 from . import ask, ask_sql, gold, gold_sql, maintained_gold, oracle, silver, specs
@@ -692,6 +693,13 @@ def ask_sector_comparison_sql(spark, sf):
 
 # ---- incremental silver and maintained gold (S2 to T1, A1-A3, A5) ------------------------
 WAVES = 3
+#: Bytes of raw facts (by the optimizer's estimate) to a bucket, so that tasks and buckets stay of one size as facts grow.
+BUCKET_BYTES, BUCKETS_LEAST, BUCKETS_MOST = 64 << 20, 8, 512
+
+
+def _buckets(raw: DataFrame) -> int:
+    size = estimated_bytes(raw) or 0
+    return min(max(-(-size // BUCKET_BYTES), BUCKETS_LEAST), BUCKETS_MOST)
 
 
 def _wave(raw: DataFrame, number: int) -> DataFrame:
@@ -703,11 +711,12 @@ def _fact_waves(spark, sf):
     """Silver data and its aggregates after all waves, each landed and refreshed by itself."""
     def build():
         root = scratch_path(spark, "incremental")
-        kept = maintained_gold.ProductivityGold(spark, root, _silver_all(spark, sf), buckets=8)
         raw = fixtures.raw_data(spark, sf)
+        buckets = _buckets(raw)
+        kept = maintained_gold.ProductivityGold(spark, root, _silver_all(spark, sf), buckets)
         for number in range(WAVES):
             ingest.land(spark, _wave(raw, number), specs.DATA, f"{root}/landing")
-            table = incremental.refresh(spark, specs.DATA, f"{root}/landing", root, buckets=8, then=[kept.follow])
+            table = incremental.refresh(spark, specs.DATA, f"{root}/landing", root, buckets, then=[kept.follow])
         return {"silver": incremental.silver(table, specs.DATA), **kept.tables()}
     return _memo(spark, sf, "incremental:data", build)
 

@@ -156,3 +156,25 @@ def test_manifest_upsert_in_place_equals_upsert(spark):
     after = files(kept.root)
     assert before.items() <= after.items() and 1 <= len(after) - len(before) <= 2
     assert rows(kept.read().drop("bucket")) == rows(manifest.manifest_upsert(old, new))
+
+
+def test_sums_never_read_the_facts_again(spark):
+    by = {"g": "string"}
+    table = BucketedTable(spark, scratch_path(spark, "test-sums"), ("g",), maintained.state_schema(by), 2)
+    one = maintained.MaintainedAggregate(table, ("g",), "value", lambda facts: facts, extremes=False, squares=False)
+    facts = lambda *lines: spark.createDataFrame(lines, "g string, value double, change int")
+
+    def unread():
+        raise AssertionError("facts read")
+
+    one.apply(facts(("a", 1.5, 1), ("a", 4.0, 1), (None, 2.0, 1), ("b", 3.0, 1)), unread, 0)
+    one.apply(facts(("a", 1.5, -1), ("b", 3.0, -1), (None, None, 1)), unread, 1)  # the minimum of one group, all of another
+    found = {r.g: r.total for r in maintained.sums(one.state(), ("g",), "total").collect()}
+    assert found == {"a": 4.0, None: 2.0}
+
+
+def test_buckets_grow_with_the_facts(monkeypatch):
+    from strata.plans import registry
+    for size, want in ((None, 8), (1 << 20, 8), (100 << 30, 512), (64 * (64 << 20) + 1, 65)):
+        monkeypatch.setattr(registry, "estimated_bytes", lambda raw, size=size: size)
+        assert registry._buckets(None) == want
