@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 from tokenizers import Tokenizer
 
-from .common import held, mapped, Memo, shared_folder, slices, written
+from .common import held, holding, mapped, Memo, shared_folder, slices, written
 
 MAGIC = b"TOKBITS1"
 #: Ids in a block.
@@ -230,6 +230,7 @@ def write_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int |
     """
     bits = bits_for(max(Tokenizer.from_file(tokenizer_path).get_vocab_size(), (end_id or 0) + 1))
 
+    @holding(("bitpack", tokenizer_path))
     def run(batches: Iterator[pa.RecordBatch]):
         memo, writer, first = encoder(tokenizer_path), None, None
         fs, base = opened(folder)

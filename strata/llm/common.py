@@ -59,14 +59,29 @@ def held(token: Hashable, build: Callable[[], object]) -> object:
     of them at a time, so what an operator learned is given back when the next begins.
     """
     if _HELD.get("token") != token:
-        _HELD.clear()
-        gc.collect()
-        release()
+        forget()
         _HELD["value"] = build()
         _HELD["token"] = token
     return _HELD["value"]
 
 
+def forget(but: Hashable = None) -> None:
+    """Drops what a worker remembers, unless it is remembered under the token ``but``."""
+    if _HELD and (but is None or _HELD["token"] != but):
+        _HELD.clear()
+        gc.collect()
+        release()
+
+
+def holding(token: Hashable) -> Callable[[Callable], Callable]:
+    """Marks a function for :func:`mapped` as one that asks ``held`` for this token."""
+    def marked(run: Callable) -> Callable:
+        run.token = token
+        return run
+
+    return marked
+
+
 #: Spark's setting for the bytes of an Arrow batch, its default, and what batches of texts get where nothing else is set.
 BATCH_SETTING, BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20, 4 << 20
 
@@ -80,11 +95,18 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
-    """``mapInArrow`` with this package importable on the executors."""
+    """``mapInArrow`` with this package importable on the executors.
+
+    A worker first forgets what it remembers under a token that ``run`` doesn't
+    ask for (see :func:`holding`), so no operator works beside another's memory.
+    """
     ship(df.sparkSession)
     small_batches(df.sparkSession)
 
+    token = getattr(run, "token", None)
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget(but=token)
         yield from run(batches)
         release()
 

@@ -13,7 +13,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held, mapped, slices, written
+from .common import held, holding, mapped, slices, written
 
 #: BM25 constants, pieces of a block, and items of one index (what an executor holds).
 K1, B = 1.2, 0.75
@@ -272,6 +272,7 @@ def searched(texts: DataFrame, own: DataFrame, df: DataFrame, total: int, mean:
     """Leaks of one index's items."""
     shared, token = shared_index(own, df, total, mean)
 
+    @holding(("decontam", token))
     def run(batches: Iterator[pa.RecordBatch]):
         searcher = held(("decontam", token), lambda: Searcher(*shared.value))
         for batch in slices(batches):
@@ -328,6 +329,7 @@ def without_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
     at = docs.columns.index(text_col)
 
     def run_of(shared: Broadcast, token: str):
+        @holding(("decontam", token))
         def run(batches: Iterator[pa.RecordBatch]):
             searcher = held(("decontam", token), lambda: Searcher(*shared.value))
             for batch in slices(batches):

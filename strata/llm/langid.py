@@ -12,7 +12,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held, _Index, mapped, slices, written
+from .common import held, holding, _Index, mapped, slices, written
 
 #: Characters of a gram: each is predicted from the three before it.
 ORDER = 4
@@ -321,6 +321,7 @@ def predict(docs: DataFrame, model: Model | Parts, id_col: str = "doc_id", text_
     """
     learned = Parts(model.langs, [0], [docs.sparkSession.sparkContext.broadcast(model)]) if isinstance(model, Model) else model
 
+    @holding(("langid", learned.token))
     def run(batches: Iterator[pa.RecordBatch]):
         scorer = held(("langid", learned.token), lambda: Scorer(learned))
         names = np.array([*learned.langs, UNDETERMINED], object)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held, _Index, mapped, slices
+from .common import held, holding, _Index, mapped, slices
 
 #: Octet classes of the character statistics.
 LOWER, UPPER, DIGIT, SPACE, LINE, STOP, MARK, WIDE = range(8)
@@ -76,6 +76,7 @@ class Statistics:
 
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, x)``: transformed statistics of every whole text."""
+    @holding("quality")
     def run(batches: Iterator[pa.RecordBatch]):
         tool = held("quality", Statistics)
         for batch in slices(batches):

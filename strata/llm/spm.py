@@ -14,7 +14,7 @@ from sentencepiece import SentencePieceProcessor
 from sentencepiece import sentencepiece_model_pb2 as proto
 from tokenizers import Tokenizer, decoders, models, normalizers
 
-from .common import held, mapped, Memo, slices
+from .common import held, holding, mapped, Memo, slices
 
 SPACE = "▁"
 #: Piece types and model types of the protobuf (fixed values of the format).
@@ -22,6 +22,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Threads of a worker's batch encoder.
 THREADS = 2
+#: Texts, and bytes of them, that a worker encodes at once: it holds their runs as Python strings.
+ROWS, SIZE = 64, 128 << 10
 
 
 def parse(data: bytes) -> proto.ModelProto:
@@ -179,9 +181,10 @@ def encoded(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
     repeat, each row is returned; an empty table gives an empty result.
     ``model_path`` names a file every executor has.
     """
+    @holding(("sentencepiece", model_path))
     def run(batches: Iterator[pa.RecordBatch]):
         tool = codec(model_path)
-        for batch in slices(batches, 256, 512 << 10):
+        for batch in slices(batches, ROWS, SIZE):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             ids, sizes, same = tool.encode(texts)
             back = tool.decode(ids, sizes)
@@ -197,9 +200,10 @@ def encoded(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
 
 def decoded(tokens: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """``(doc_id, text)`` of every row of ids; null ids give an empty text."""
+    @holding(("sentencepiece", model_path))
     def run(batches: Iterator[pa.RecordBatch]):
         tool = codec(model_path)
-        for batch in slices(batches, 256, 512 << 10):
+        for batch in slices(batches, ROWS, SIZE):
             lists = [np.array(i or [], np.int64) for i in batch.column(1).to_pylist()]
             texts = tool.decode(np.concatenate(lists), np.array([len(i) for i in lists], np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])

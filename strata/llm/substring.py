@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import _Index, checked, components, held, mapped, slices, written
+from .common import _Index, checked, components, held, holding, mapped, slices, written
 
 #: A paragraph ends where a word pair's hash is the least of this many words to either side, or after MAX_WORDS.
 RADIUS = 5
@@ -136,6 +136,7 @@ def counted(texts: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n), own.cast(pa.list_(pa.int64()))],
                                           ["hash", "n", "keys"])
 
+    @holding("substring")
     def run(batches: Iterator[pa.RecordBatch]):
         tool, hashes, keys, count = cutter(), [], [], 0
         for batch in slices(batches):
@@ -156,6 +157,7 @@ def counted(texts: DataFrame) -> DataFrame:
 
 def paragraphs(texts: DataFrame) -> DataFrame:
     """``(doc_id, sig, idx, n_words, hash)`` of every paragraph of ``texts(doc_id, sig, text)``."""
+    @holding("substring")
     def run(batches: Iterator[pa.RecordBatch]):
         tool = cutter()
         for batch in slices(batches):
@@ -175,6 +177,7 @@ def paragraphs(texts: DataFrame) -> DataFrame:
 
 def looked_up(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """``(hash, shingles)`` of the wanted paragraphs ``(doc_id, sig, idx, hash)``, cut from their texts again."""
+    @holding("substring")
     def run(batches: Iterator[pa.RecordBatch]):
         tool = cutter()
         for batch in slices(batches, 64):

@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held, _Index, mapped, slices, written
+from .common import held, holding, _Index, mapped, slices, written
 
 #: Length of the compared subsequences, and the weight of each character they span.
 LENGTH, DECAY = 4, 0.5
@@ -26,6 +26,8 @@ LANDMARKS = 96
 CHANCE = 0.05
 STEMS = range(4, 9)
 REMEMBERED = 150_000
+#: Texts, and bytes of them, that a worker reads at once: it holds their words as Python strings.
+ROWS, SIZE = 128, 256 << 10
 #: Words whose kernels are gathered at once.
 GATHERED = 8192
 LETTERS = re.compile(r"[\W\d_]+")
@@ -303,7 +305,7 @@ def occurrences(texts: DataFrame, known: frozenset[str] | None = None) -> DataFr
     """``(stem, n)``: in how many texts a word or word beginning occurs; only the known ones if given."""
     def run(batches: Iterator[pa.RecordBatch]):
         counts: Counter[str] = Counter()
-        for batch in slices(batches):
+        for batch in slices(batches, ROWS, SIZE):
             for text in batch.column(0).to_pylist():
                 own = beginnings(text)
                 counts.update(own if known is None else own & known)
@@ -327,7 +329,7 @@ def places(texts: DataFrame, stems: list[str]) -> DataFrame:
     number = {s: i for i, s in enumerate(stems)}
 
     def run(batches: Iterator[pa.RecordBatch]):
-        for batch in slices(batches):
+        for batch in slices(batches, ROWS, SIZE):
             own = batch.column(0).to_pylist()
             found = [sorted(number[s] for s in beginnings(t) & number.keys()) for t in own]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())),
@@ -470,7 +472,7 @@ def examples(chosen: DataFrame, model: Model) -> DataFrame:
     """``(label, kernels)``: of each text of the bounded sample the sentence with the highest margin."""
     def run(batches: Iterator[pa.RecordBatch]):
         tester = Tester(model.landmarks)
-        for batch in slices(batches):
+        for batch in slices(batches, ROWS, SIZE):
             owner, kernels = tester.features(batch.column(0).to_pylist())
             margin = model.margin(kernels)
             best = np.lexsort((-margin, owner))
@@ -491,10 +493,11 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     """
     shared, token = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex  # LANDMARKS words
 
+    @holding(("toxicity", token))
     def run(batches: Iterator[pa.RecordBatch]):
         learned = shared.value
         tester = held(("toxicity", token), lambda: Tester(learned.landmarks))
-        for batch in slices(batches):
+        for batch in slices(batches, ROWS, SIZE):
             owner, kernels = tester.features(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(learned.score(owner, kernels, batch.num_rows))], ["doc_id", "score"])
@@ -512,10 +515,11 @@ def without_toxic(docs: DataFrame, model: Model, least: float = 0.5, text_col: s
     shared, token = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex  # LANDMARKS words
     at = docs.columns.index(text_col)
 
+    @holding(("toxicity", token))
     def run(batches: Iterator[pa.RecordBatch]):
         learned = shared.value
         tester = held(("toxicity", token), lambda: Tester(learned.landmarks))
-        for batch in slices(batches):
+        for batch in slices(batches, ROWS, SIZE):
             owner, kernels = tester.features(batch.column(at).to_pylist())
             yield batch.filter(pa.array(learned.score(owner, kernels, batch.num_rows) < least))
 
