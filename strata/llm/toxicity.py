@@ -7,7 +7,7 @@ import uuid
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held, holding, _Index, mapped, slices, written
+from .common import held, holding, mapped, slices, written
 
 #: Length of the compared subsequences, and the weight of each character they span.
 LENGTH, DECAY = 4, 0.5
@@ -31,8 +31,8 @@ ROWS, SIZE = 128, 256 << 10
 #: Words whose kernels are gathered at once.
 GATHERED = 8192
 LETTERS = re.compile(r"[\W\d_]+")
-#: Neighbouring words of at most three letters each, or of signs, whatever white space is between them.
-SHORT = re.compile(r"(?<!\S){0}(?:\s+{0})+(?!\S)".format(r"(?=\S)(?:[^\w\s]*\w){0,3}[^\w\s]*"))
+#: Words of at most three letters, or of signs.
+SHORT = re.compile(r"(?:\W*\w){0,3}\W*")
 
 
 def plain(word: str) -> str:
@@ -40,6 +40,40 @@ def plain(word: str) -> str:
     return "^" + (word if word.isalpha() else LETTERS.sub("", word))
 
 
+def traits(words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Of each word its letters (as :func:`plain` has them), whether it ends a sentence, and whether it is SHORT."""
+    letters = list(words)
+    ends, short = np.zeros(len(words), bool), np.fromiter(map(len, words), np.int64, len(words)) <= 3
+    signed = np.flatnonzero(~np.fromiter(map(str.isalpha, words), bool, len(words)))
+    for i in signed.tolist():
+        word = words[i]
+        last, most = word[-1], word[:-1]
+        letters[i] = own = most if last in ".,;:!?" and most.isalpha() else LETTERS.sub("", word)
+        ends[i] = last in ".!?"
+        short[i] = short[i] or len(own) <= 3 and SHORT.fullmatch(word) is not None
+    return letters, ends, short
+
+
+def broken(short: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(places, first, last, run)``: the places of neighbouring short words of one text, and what is joined of them.
+
+    From each word of a run but its last one, up to WINDOW words of the run are
+    joined: those from ``first`` to before ``last`` in ``places``.
+    """
+    pair = np.flatnonzero(short[:-1] & short[1:] & (text[:-1] == text[1:]))
+    new = np.diff(pair, prepend=-2) > 1
+    run = np.cumsum(new) - 1
+    tail = pair[np.append(new[1:], True)[:len(pair)]]
+    places = np.union1d(pair, tail + 1)
+    first = np.searchsorted(places, pair)
+    return places, first, np.minimum(first + WINDOW, np.searchsorted(places, tail + 1)[run] + 1), run
+
+
+def joined(own: list[str], first: np.ndarray, last: np.ndarray) -> list[str]:
+    """Short words' letters joined, up to WINDOW characters; nothing from a word without letters on."""
+    return ["".join(own[i:j])[:WINDOW - 1] if own[i] else "" for i, j in zip(first.tolist(), last.tolist())]
+
+
 def sentences(text: str) -> tuple[list[str], np.ndarray]:
     """A text's words and the number of each one's sentence.
 
@@ -47,20 +81,15 @@ def sentences(text: str) -> tuple[list[str], np.ndarray]:
     WINDOW characters), since a word may be spelled out or broken up; those of
     one run are a sentence of their own.
     """
-    low = text.lower()
-    words = low.split()
-    ends = np.fromiter((w[-1] in ".!?" for w in words), np.int64, len(words))
+    words = text.lower().split()
+    letters, ends, short = traits(words)
     number = np.cumsum(ends) - ends
-    joined, run = [], []
-    for n, m in enumerate(SHORT.finditer(low)):
-        own = [plain(w)[1:] for w in m.group().split()]
-        for i in range(len(own) - 1):
-            if own[i]:
-                joined.append("".join(own[i:i + WINDOW])[:WINDOW - 1])
-                run.append(n)
-    if joined:
-        number = np.concatenate((number, number[-1] + 1 + np.array(run)))
-        words = words + joined
+    places, first, last, run = broken(short, np.zeros(len(words)))
+    more = joined([letters[i] for i in places.tolist()], first, last)
+    if any(more):
+        some = np.array(list(map(bool, more)))
+        number = np.concatenate((number, number[-1] + 1 + run[some]))
+        words = words + list(filter(None, more))
     return words, number
 
 
@@ -108,25 +137,52 @@ class Landmarks:
         grid = [np.repeat(np.arange(len(words)), len(words)), np.tile(np.arange(len(words)), len(words))]
         self.gram = (self.pairs(self.codes[grid[0]], self.codes[grid[1]]).reshape(len(words), len(words))
                      / self.size[:, None] / self.size[None, :]) if words else np.zeros((0, 0))
+        alphabet = np.unique(self.codes[self.codes > 0])
+        #: Numbers of the landmarks' letters by code point; other letters, and what is beyond the table, are 0.
+        self.letter = np.zeros(int(alphabet.max(initial=0)) + 2, np.uint16)
+        self.letter[alphabet] = np.arange(1, len(alphabet) + 1)
+        #: Landmarks that share 64 bits: each letter's places as bits, and their lengths.
+        self.packed: list[tuple[np.ndarray, list[int]]] = []
+        used = 64
+        for landmark in self.codes:
+            own = landmark[landmark > 0]
+            if used + len(own) + 1 > 64:
+                self.packed.append((np.zeros(len(alphabet) + 1, np.uint64), []))
+                used = 0
+            places, lengths = self.packed[-1]
+            np.bitwise_or.at(places, self.letter[own], np.uint64(1) << np.arange(used, used + len(own), dtype=np.uint64))
+            lengths.append(len(own))
+            used += len(own) + 1
 
-    @staticmethod
-    def shared(letters: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
-        """Words whose longest common subsequence with a landmark has LENGTH characters or more.
+    def shared(self, letters: np.ndarray) -> list[np.ndarray]:
+        """Of each landmark, the words whose longest common subsequence with it has LENGTH characters or more.
 
         ``letters`` has a column for each word and a row for each of its
-        places, ``places`` the landmark's places of each letter as bits. A bit
-        of ``row`` is a place of the landmark that raises the length; a
-        place of the words is one step for all of them.
+        places, letters of no landmark being 0. A bit of ``row`` is a place of
+        a landmark that raises the length; a place of the words is one step
+        for all of them and for as many landmarks as 64 bits hold, with a bit
+        between two that takes what is carried beyond the first.
         """
-        match = places[letters]
-        some = np.flatnonzero((match > 0).sum(axis=0) >= LENGTH)
-        match = match[:, some]
-        every = np.uint32((1 << length) - 1)
-        row = np.full(len(some), every, np.uint32)  # what is carried beyond its bits is cut off
-        for step in match:
-            both = row & step
-            row = (row + both) | (row - both)
-        return some[length - np.bitwise_count(row & every).astype(np.int64) >= LENGTH]
+        some = np.flatnonzero((letters > 0).sum(axis=0) >= LENGTH)
+        width = (letters[:, some] > 0)[::-1].argmax(axis=0)  # places behind the last letter
+        order = np.argsort(width, kind="stable")  # longer words first: a step is for those that have its place
+        reach = len(letters) - width[order]
+        some = some[order]
+        letters = letters[:, some]
+        out = []
+        for places, lengths in self.packed:
+            starts = np.cumsum([0] + [n + 1 for n in lengths[:-1]]).tolist()
+            fields = np.uint64(sum(((1 << n) - 1) << at for n, at in zip(lengths, starts)))
+            row = np.full(len(some), fields, np.uint64)
+            for i, step in enumerate(letters):
+                n = int(np.searchsorted(-reach, -i))  # words that reach beyond place i
+                own = row[:n]
+                both = own & places[step[:n]]
+                row[:n] = ((own + both) | (own - both)) & fields
+            for n, at in zip(lengths, starts):
+                left = np.bitwise_count((row >> np.uint64(at)) & np.uint64((1 << n) - 1)).astype(np.int64)
+                out.append(np.sort(some[n - left >= LENGTH]))
+        return out
 
     @staticmethod
     def pairs(a: np.ndarray, b: np.ndarray, block: int = 512) -> np.ndarray:
@@ -141,6 +197,8 @@ class Landmarks:
         """``(rows, values)``: the words (see :func:`plain`) with a kernel above zero and their kernels with all landmarks."""
         pieces = list(words)
         owner = np.arange(len(pieces))
+        if not pieces or not self.words:
+            return owner[:0], np.zeros((0, len(self.words)))
         longer = [i for i, w in enumerate(pieces) if len(w) > WINDOW]
         if longer:  # overlapping windows of long words
             more = [(i, "^" + pieces[i][at:at + WINDOW - 1]) for i in longer
@@ -148,19 +206,8 @@ class Landmarks:
             owner = np.concatenate((owner, [i for i, _ in more]))
             pieces = [w[:WINDOW] for w in pieces] + [w for _, w in more]
         codes = coded(pieces, WINDOW)
-        alphabet = np.unique(self.codes[self.codes > 0])
-        at = np.minimum(np.searchsorted(alphabet, codes), max(len(alphabet) - 1, 0))
-        # letters of no landmark are 0; numbered once for all landmarks
-        letters = np.ascontiguousarray(np.where(alphabet[at] == codes, at + 1, 0).T.astype(np.uint16)) if len(alphabet) else None
-        left, right = [], []
-        for k, landmark in enumerate(self.codes):
-            places = np.zeros(len(alphabet) + 1, np.uint32)
-            own = landmark[landmark > 0]
-            np.bitwise_or.at(places, np.searchsorted(alphabet, own) + 1, np.uint32(1) << np.arange(len(own), dtype=np.uint32))
-            hit = self.shared(letters, places, len(own))
-            left.append(hit)
-            right.append(np.full(len(hit), k))
-        left, right = np.concatenate(left or [owner[:0]]), np.concatenate(right or [owner[:0]])
+        hits = self.shared(self.letter[np.minimum(codes.T, len(self.letter) - 1)])
+        left, right = np.concatenate(hits), np.repeat(np.arange(len(hits)), list(map(len, hits)))
         values = self.pairs(codes[left], self.codes[right]) / self.size[right]
         rows, place = np.unique(owner[left], return_inverse=True)
         out = np.zeros((len(rows), len(self.words)))
@@ -168,6 +215,16 @@ class Landmarks:
         return rows, out
 
 
+class Numbers(dict):
+    """Numbers keys in order of first sight."""
+
+    def __call__(self, keys: list[str]) -> tuple[np.ndarray, list[str]]:
+        """The numbers of keys, and the keys that had none before."""
+        fresh = [k for k in dict.fromkeys(keys) if k not in self]
+        self.update(zip(fresh, range(len(self), len(self) + len(fresh))))
+        return np.fromiter(map(self.__getitem__, keys), np.int64, len(keys)), fresh
+
+
 class Tester:
     """Highest-scoring sentence of texts; distinct words are compared with the landmarks once while remembered."""
 
@@ -176,32 +233,51 @@ class Tester:
         self.clear()
 
     def clear(self) -> None:
-        self.index, self.stems = _Index(), _Index()
+        self.index, self.stems = Numbers(), Numbers()
         self.stem, self.place = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.ends, self.short = np.empty(0, bool), np.empty(0, bool)
+        self.letters: dict[int, str] = {}  # of short words
         self.values = np.zeros((0, len(self.landmarks.words)))
 
-    def features(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """``(owner, kernels)`` of the sentences that touch a landmark: the largest kernel of a sentence's words."""
-        if len(self.index) > REMEMBERED or len(self.values) > REMEMBERED // 4:
-            self.clear()
-        split = [sentences(t or "") for t in texts]
-        counts = np.fromiter((len(w) for w, _ in split), np.int64, len(split))
-        at = np.fromiter((self.index[w] for words, _ in split for w in words), np.int64, int(counts.sum()))
-        if self.index.fresh:  # words that differ in signs only are compared once
-            fresh = [self.stems[plain(w)] for w in self.index.fresh]
-            self.stem = np.concatenate((self.stem, np.array(fresh, np.int64)))
-            self.index.fresh = []
-        if self.stems.fresh:
-            rows, values = self.landmarks(self.stems.fresh)
-            place = np.full(len(self.stems.fresh), -1)
+    def stemmed(self, letters: list[str]) -> np.ndarray:
+        """Numbers of words' letters; new ones are compared with the landmarks."""
+        at, fresh = self.stems(letters)
+        if fresh:
+            rows, values = self.landmarks(["^" + s for s in fresh])
+            place = np.full(len(fresh), -1)
             place[rows] = len(self.values) + np.arange(len(rows))
             self.place = np.concatenate((self.place, place))
             self.values = np.concatenate((self.values, values))
-            self.stems.fresh = []
-        place = self.place[self.stem[at]] if len(at) else at
+        return at
+
+    def features(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """``(owner, kernels)`` of the sentences that touch a landmark: the largest kernel of a sentence's words.
+
+        The words and sentences are those of :func:`sentences`, of all texts at once.
+        """
+        if max(len(self.index), len(self.stems)) > REMEMBERED or len(self.values) > REMEMBERED // 4:
+            self.clear()
+        split = [(t or "").lower().split() for t in texts]
+        owner = np.repeat(np.arange(len(split)), list(map(len, split)))
+        at, fresh = self.index(list(chain.from_iterable(split)))
+        letters, ends, short = traits(fresh)
+        few = np.flatnonzero(short)
+        self.letters.update(zip((len(self.short) + few).tolist(), map(letters.__getitem__, few.tolist())))
+        self.ends, self.short = np.concatenate((self.ends, ends)), np.concatenate((self.short, short))
+        ends = self.ends[at]
+        number = np.cumsum(ends) - ends
+        places, first, last, run = broken(self.short[at], owner)
+        more = joined(list(map(self.letters.__getitem__, at[places].tolist())), first, last)
+        some = np.fromiter(map(bool, more), bool, len(more))
+        # words that differ in signs only are compared once
+        stem = self.stemmed(letters + list(filter(None, more)))
+        self.stem = np.concatenate((self.stem, stem[:len(fresh)]))
+        place = self.place[np.concatenate((self.stem[at], stem[len(fresh):]))]
         hit = np.flatnonzero(place >= 0)
-        owner = np.repeat(np.arange(len(texts)), counts)[hit]
-        number = np.concatenate([s for _, s in split] or [hit])[hit]
+        owner = np.concatenate((owner, owner[places[first[some]]]))[hit]
+        number = np.concatenate((number, len(at) + run[some]))[hit]
+        order = np.argsort(owner, kind="stable")  # a text's joined words behind its words
+        hit, owner, number = hit[order], owner[order], number[order]
         if not len(hit):
             return owner, np.zeros((0, len(self.landmarks.words)))
         new = np.concatenate(([True], (owner[1:] != owner[:-1]) | (number[1:] != number[:-1])))

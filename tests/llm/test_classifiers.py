@@ -212,6 +212,49 @@ def test_kernels_are_gathered_a_few_sentences_at_once(monkeypatch):
     assert peak < 100_000 * len(landmarks.words) * 8  # less than all words' kernels
 
 
+def test_known_words_cost_no_python_call_each():
+    import sys
+    tester, calls = toxicity.Tester(toxicity.Landmarks(["^idio", "^stup"])), []
+    texts = ["You idiot, is it so? No i d i o t of 2 am! Plain longer words, stupid ones. " * 50] * 4
+    tester.features(texts)
+    sys.setprofile(lambda frame, event, arg: calls.append(event) if event == "call" else None)
+    try:
+        owner, kernels = tester.features(texts)
+    finally:
+        sys.setprofile(None)
+    assert len(kernels) and len(calls) < sum(len(t.split()) for t in texts) / 2
+
+
+def test_words_and_sentences_of_many_texts_are_those_of_each():
+    import re
+    rng = np.random.default_rng(4)
+    few = r"(?=\S)(?:[^\w\s]*\w){0,3}[^\w\s]*"
+    runs = re.compile(rf"(?<!\S){few}(?:\s+{few})+(?!\S)")
+    letters = list("abdiIost.!?,-_12\u00b2\u00bd\u00df\u0130\u00e9\u4e2d\u200b") + [" "] * 12 + ["\n", "\t", "\x1c", "\x85", "\u3000", "\xa0"]
+    texts = ["".join(rng.choice(letters, size)) for size in (0, 1, 2, 5, 40, 80, 300, 900) for _ in range(6)] + [None, " ", ".", "a b"]
+    landmarks = toxicity.Landmarks([f"^{a}{b}{c}o" for a in "abi" for b in "dst" for c in "iot"] + ["^sotsabtistoabdiostabiso"])
+    tester = toxicity.Tester(landmarks)
+    owner, kernels = tester.features(texts)
+    assert len(landmarks.packed) > 2 and len(owner) > 50 and (np.diff(owner) >= 0).all()
+    for i, text in enumerate(texts):
+        low = (text or "").lower()
+        parts = [(0, w) for w in low.split()]
+        for at in range(1, len(parts)):
+            parts[at] = (parts[at - 1][0] + (parts[at - 1][1][-1] in ".!?"), parts[at][1])
+        behind = parts[-1][0] + 1 if parts else 0
+        for n, m in enumerate(runs.finditer(low)):
+            own = [toxicity.plain(w)[1:] for w in m.group().split()]
+            parts += [(behind + n, "".join(own[k:k + 24])[:23]) for k in range(len(own) - 1) if own[k]]
+        words, number = toxicity.sentences(low)
+        assert list(zip(number, words)) == parts
+        rows, values = landmarks([toxicity.plain(w) for _, w in parts])
+        best: dict[int, np.ndarray] = {}
+        for r, v in zip(rows, values):
+            best[parts[r][0]] = np.maximum(best.get(parts[r][0], 0), v)
+        assert np.allclose(np.array([best[n] for n in sorted(best)]).reshape(len(best), len(landmarks.words)),
+                           kernels[owner == i], rtol=1e-6)
+
+
 def test_shared_letters_are_those_of_the_longest_common_subsequence():
     rng = np.random.default_rng(3)
     words = sorted({"^" + "".join(rng.choice(list("abcde"), rng.integers(1, 22))) for _ in range(80)})
