@@ -12,15 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import mapped, written
+from .common import mapped, release, written
 
 #: Bytes of components in a shard of the candidates, and in a block of queries, at eight bytes a component; rows of either.
 SHARD_BYTES = 4 << 20
 QUERY_BYTES = 2 << 20
 BLOCK_ROWS = 8192
 #: Bytes of query blocks, and results kept, that a task holds; groups of shards, each of which gives k rows a query.
-LANE_BYTES = 16 << 20
-LANE_RESULTS = 1 << 20
+LANE_BYTES = 4 << 20
+LANE_RESULTS = 1 << 18
 GROUPS = 32
 #: Queries and rows whose scores are worked out at once.
 QUERIES, ROWS = 512, 2048
@@ -285,6 +285,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
             for row in range(batch.num_rows):
                 get = lambda name, b=batch, r=row: b.column(name)[r].as_py()
                 if get("number") != number:
+                    release()  # what was freed between results that stay
                     number, shard = get("number"), Shard(*unpack(get("width"), get("ids"), get("data")))
                 if get("q_number") not in best:
                     ids, rows = unpack(get("q_width"), get("q_ids"), get("q_data"))
